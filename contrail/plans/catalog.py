@@ -1,4 +1,4 @@
 """All named queries."""
 
-from contrail.plans import catalog_clean, catalog_marts, catalog_tracks  # noqa: F401
+from contrail.plans import catalog_clean, catalog_marts, catalog_tables, catalog_tracks  # noqa: F401
 from contrail.plans.registry import QUERIES, SQL  # noqa: F401

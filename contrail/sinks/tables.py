@@ -148,7 +148,11 @@ def merge_into_table(source: DataFrame, table: str, key: str = "position_id") ->
 
 
 def replay(
-    read_bronze: Callable[[], DataFrame], path: str, dates: list[str], as_of: str
+    read_bronze: Callable[[], DataFrame],
+    path: str,
+    dates: list[str],
+    as_of: str,
+    tie_break: list[str] | None = None,
 ) -> None:
     """Rebuild the silver partitions of `dates` from the raw history.
 
@@ -158,7 +162,7 @@ def replay(
     raw = read_bronze()
     wanted = [F.lit(day).cast("date") for day in dates]
     chosen = raw.filter(F.to_date(F.timestamp_seconds("time_position")).isin(*wanted))
-    write_silver(clean.to_silver(chosen, as_of), path)
+    write_silver(clean.to_silver(chosen, as_of, tie_break), path)
 
 
 # --- messages, views, metrics ----------------------------------------------

@@ -34,14 +34,18 @@ def read_json_documents(
 
 
 def read_tolerant(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = MESSAGE, documents: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = MESSAGE,
+    documents: bool = False,
+    glob: str = "*.json",
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, errors per file): a bad file or line does not stop the rest.
 
     `documents` reads a file as one object or array, otherwise each line is a message.
     """
     text = (
-        spark.read.option("pathGlobFilter", "*.json")
+        spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("wholetext", str(documents).lower())
         .option("ignoreCorruptFiles", "true")
