@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,9 +44,14 @@ def filter_min_fields(df: DataFrame, states: str = "state", n: int = S.MIN_STATE
 # --- validation ------------------------------------------------------------
 
 
+def epoch_seconds(as_of: str) -> int:
+    """Epoch seconds of a time written in UTC."""
+    return int(datetime.fromisoformat(as_of).replace(tzinfo=UTC).timestamp())
+
+
 def failures(as_of: str) -> dict[str, Column]:
     """One never-null condition per rule, true where the rule is broken."""
-    now = F.unix_timestamp(F.lit(as_of).cast("timestamp"))
+    now = epoch_seconds(as_of)
     time = F.col("time_position")
 
     def broken(condition: Column) -> Column:
@@ -71,13 +77,25 @@ def with_reasons(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumn("reasons", F.array_compact(F.array(*flags)))
 
 
-def validate(df: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with `reasons`).
+def passes(as_of: str) -> Column:
+    """True where no rule is broken, as plain comparisons that reach the scan."""
+    now = epoch_seconds(as_of)
+    rules = [
+        F.col("icao24").rlike("^[0-9a-fA-F]{6}$"),
+        F.col("origin_country").isNotNull(),
+        F.col("time_position") >= max(1, now - S.PAST_SECONDS),
+        F.col("time_position") <= now + S.FUTURE_SECONDS,
+        F.col("longitude").between(-180, 180),
+        F.col("latitude").between(-90, 90),
+        F.col("baro_altitude").isNull() | (F.col("baro_altitude") >= 0),
+        F.col("velocity").isNull() | F.col("velocity").between(0, S.MAX_VELOCITY),
+    ]
+    return reduce(lambda left, right: left & right, rules)
 
-    The valid side is plain predicates, so they reach the scan.
-    """
-    passed = reduce(lambda left, right: left & right, [~bad for bad in failures(as_of).values()])
-    return df.filter(passed), with_reasons(df, as_of).filter(F.size("reasons") > 0)
+
+def validate(df: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with `reasons`)."""
+    return df.filter(passes(as_of)), with_reasons(df, as_of).filter(F.size("reasons") > 0)
 
 
 def validate_strict(df: DataFrame, as_of: str) -> DataFrame:

@@ -34,6 +34,8 @@ def low_slow(df: DataFrame, min_points: int = MIN_APPROACH_POINTS) -> DataFrame:
     rows = df.filter(
         (F.col("baro_altitude") < APPROACH_ALTITUDE) & (F.col("velocity") < APPROACH_VELOCITY)
     )
+    if not min_points:
+        return rows
     enough = rows.agg(F.count(F.lit(1)) >= min_points).scalar()
     return rows.filter(enough)
 
@@ -252,15 +254,17 @@ def components(edges: DataFrame) -> DataFrame:
 # --- clustering ------------------------------------------------------------
 
 
-def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
+def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5, min_rows: int = 0) -> DataFrame:
     """Add `cluster`: 0, 1, .. in the order of each cluster's first core report, -1 for noise.
 
     A point counts among its own neighbours. A point on the edge of several clusters
     goes to the lowest number, as in the sequential method over rows in time order.
+    Fewer than `min_rows` rows give no result. The input is written out once, because it
+    is read at the start and again when the numbers are joined to it.
     """
     session.shared_dir(df.sparkSession)
     grid = Grid(eps_km)
-    rows = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    rows = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).checkpoint()
     lon = F.pmod(F.col("longitude") + 180.0, F.lit(360.0)) - 180.0
     lon = F.when(F.col("longitude").between(-180, 179.9999999), F.col("longitude")).otherwise(lon)
     sites = (
@@ -271,6 +275,11 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
         .withColumn("cell", grid.cell(F.col("row"), F.col("column")))
         .checkpoint()
     )
+    site_total, row_total = sites.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))
+    ).first()
+    if row_total < min_rows:
+        return rows.withColumn("cluster", F.lit(-1)).limit(0)
     cells = sites.groupBy("cell").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("sites"), F.min("first").alias("first")
     )
@@ -289,9 +298,6 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
     )
 
     # Points within reach of each sparse site, per cell around it.
-    site_total, row_total = sites.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))
-    ).first()
     hot_cells = hot_keys(cells, ["cell"], "sites", site_total)
     probes = grid.around(sparse, "cell_around").select(
         F.col("lat").alias("p_lat"),
@@ -388,6 +394,11 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
     )
 
 
+def approach_clusters(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
+    """Clusters of approach-phase reports: likely airports."""
+    return dbscan(low_slow(df, min_points=0), eps_km, min_pts, min_rows=MIN_APPROACH_POINTS)
+
+
 def cluster_summary(clustered: DataFrame) -> DataFrame:
     """Centre, averages, points and aircraft of each cluster, noise left out."""
     return (

@@ -320,7 +320,7 @@ CLUSTERS = f"""
 
 
 def _clustered(p: Inputs):
-    return cluster.dbscan(cluster.low_slow(p.silver))
+    return cluster.approach_clusters(p.silver)
 
 
 @query("dbscan", BASE + CLUSTERS + "select event_id, icao24, cluster from clustered")

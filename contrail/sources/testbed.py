@@ -28,14 +28,19 @@ def positions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
     event_id, user_id = F.col("event_id"), F.col("user_id")
     near = (event_id % 4 == 0) & (event_id % 52 != 0)
     approach = event_id % 4 == 0
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    k = F.col("k")
     place_lat = F.array(*[F.lit(round(lat * 1000)) for _, lat, _ in PLACES])
     place_lon = F.array(*[F.lit(round(lon * 1000)) for _, _, lon in PLACES])
     place = (user_id % 8).cast("int")
     code = F.substring(F.lit(PREFIXES), (user_id % 6).cast("int") * 3 + 1, F.lit(3))
-    seen = F.col("ts").cast("timestamp")
+    measured = events.select(
+        "event_id",
+        "user_id",
+        F.col("ts").cast("timestamp").alias("seen"),
+        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
+    )
 
-    base = events.select(
+    base = measured.select(
         "event_id",
         (user_id % 25).cast("int").alias("n_nationkey"),
         F.when(event_id % 499 == 0, F.lit("INVALID"))
@@ -46,7 +51,7 @@ def positions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
         .when(event_id % 10 == 0, F.concat(F.lit("  "), code, user_id.cast("string"), F.lit(" ")))
         .otherwise(F.concat(code, user_id.cast("string")))
         .alias("callsign"),
-        F.expr("unix_micros(cast(ts as timestamp)) div 1000000").alias("time_position"),
+        F.expr("unix_micros(seen) div 1000000").alias("time_position"),
         F.when(event_id % 97 == 0, F.lit(None).cast("double"))
         .when(near, (F.get(place_lon, place) + ((event_id % 11) - 5) * 10) / F.lit(1000.0))
         .otherwise((F.lit(6400) + event_id * 53 % 3600) / F.lit(100.0))
@@ -70,7 +75,7 @@ def positions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
         F.explode(
             F.when(event_id % 20 == 0, F.array(F.lit(30), F.lit(90))).otherwise(F.array(F.lit(30)))
         ).alias("delay"),
-        seen.alias("seen"),
+        "seen",
     )
     countries = nation.select("n_nationkey", F.col("n_name").alias("origin_country"))
     return base.join(countries, "n_nationkey").select(

@@ -133,3 +133,16 @@ def test_low_slow_needs_ten_points(spark):
     rows = spark.range(10).select(F.lit(100.0).alias("baro_altitude"), F.lit(50.0).alias("velocity"))
     assert cluster.low_slow(rows).count() == 10
     assert cluster.low_slow(rows.limit(9)).count() == 0
+
+
+def test_approach_clusters_need_ten_points(spark):
+    rows = spark.range(10).select(
+        F.col("id").alias("time_position"),
+        F.lit("801642").alias("icao24"),
+        F.lit(100.0).alias("baro_altitude"),
+        F.lit(50.0).alias("velocity"),
+        F.lit(28.5).alias("latitude"),
+        F.lit(77.1).alias("longitude"),
+    )
+    assert [r["cluster"] for r in cluster.approach_clusters(rows).collect()] == [0] * 10
+    assert cluster.approach_clusters(rows.limit(9)).count() == 0
