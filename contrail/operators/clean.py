@@ -25,7 +25,7 @@ class BatchRejected(ValueError):
 
 def filter_valid_coords(df: DataFrame) -> DataFrame:
     """Keep rows with both coordinates; zero counts as a coordinate."""
-    return df.dropna(subset=["latitude", "longitude"])
+    return df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
 
 
 def filter_bbox(df: DataFrame, box: tuple[float, float, float, float] = S.COUNTRY_BOX) -> DataFrame:
@@ -259,7 +259,10 @@ def stg_positions(df: DataFrame) -> DataFrame:
 
 
 def filter_since(df: DataFrame, as_of: str, minutes: int, column: str = "event_time") -> DataFrame:
+    """Rows later than `minutes` before `as_of`; on a dated table older dates are not read."""
     start = F.lit(as_of).cast("timestamp") - F.make_dt_interval(mins=F.lit(minutes))
+    if column == "event_time" and "partition_date" in df.columns:
+        df = df.filter(F.col("partition_date") >= start.cast("date"))
     return df.filter(F.col(column) > start)
 
 
@@ -288,4 +291,5 @@ def search_callsign(df: DataFrame, term: str) -> DataFrame:
 
 
 def country_options(df: DataFrame) -> DataFrame:
-    return df.select("origin_country").dropna().distinct().orderBy("origin_country")
+    known = df.select("origin_country").filter(F.col("origin_country").isNotNull())
+    return known.distinct().orderBy("origin_country")

@@ -46,6 +46,15 @@ def radius_split(
     )
 
 
+def radar_rows(
+    latest: DataFrame, centre: tuple[float, float] = RADAR_CENTRE, km: float = 100
+) -> DataFrame:
+    """Both radar tables, nearest first: `side` is `local` or `other`."""
+    side = F.when(F.col("distance_km") <= km, F.lit("local")).otherwise(F.lit("other"))
+    rows = unit_columns(with_distance(latest, centre))
+    return rows.withColumn("side", side).orderBy("distance_km", "icao24")
+
+
 def unit_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"altitude_ft": feet(F.col("baro_altitude")), "speed_kt": knots(F.col("velocity"))}
@@ -116,7 +125,8 @@ def density_grid(
         F.floor(F.col("latitude") / F.lit(cell_deg)).alias("cell_lat"),
         F.floor(F.col("longitude") / F.lit(cell_deg)).alias("cell_lon"),
     ).agg(F.sum(weight).alias("weight"), row_count().alias("points"))
-    peak = cells.agg(F.max("weight")).scalar()
+    # Both columns are asked for, so that the cells are computed once for both uses.
+    peak = cells.agg(F.struct(F.max("weight").alias("weight"), F.max("points"))).scalar()["weight"]
     return cells.withColumn("share", F.col("weight") / peak).filter(F.col("share") >= threshold)
 
 

@@ -124,20 +124,23 @@ def country_kpis(df: DataFrame) -> DataFrame:
 
 
 def daily_trend(df: DataFrame, top: int = 5) -> DataFrame:
-    """Per-day counts of the `top` countries; the totals are summed from the daily counts."""
+    """Per-day counts of the `top` countries, from one pass: a country's days (one entry
+    per calendar day) travel with its total."""
     daily = (
         df.filter(F.col("origin_country").isNotNull())
         .groupBy("partition_date", "origin_country")
         .agg(row_count().alias("flights"))
     )
-    leaders = (
+    return (
         daily.groupBy("origin_country")
-        .agg(F.sum("flights").alias("total"))
+        .agg(
+            F.sum("flights").alias("total"),
+            F.collect_list(F.struct("partition_date", "flights")).alias("days"),
+        )
         .orderBy(F.desc("total"), "origin_country")
         .limit(top)
-        .select("origin_country")
+        .select("origin_country", F.inline("days"))
     )
-    return daily.join(leaders, "origin_country", "left_semi")
 
 
 def top_n_with_others(df: DataFrame, n: int = 10) -> DataFrame:
@@ -292,7 +295,7 @@ def overview_kpis_on(df: DataFrame, date: str) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts of equal-width, right-closed bins over the column's range; empty bins kept."""
-    values = df.select(F.col(column).cast("double").alias("v")).dropna()
+    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     low, high = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
     ranged = values.select("v", low.alias("low"), high.alias("high"))
     counts = (

@@ -270,10 +270,10 @@ def path_endpoints(df: DataFrame) -> DataFrame:
 
 def profile(df: DataFrame, measure: str) -> DataFrame:
     """A measure over time per aircraft, unknown values dropped."""
-    return df.select("icao24", "event_time", measure).dropna().orderBy("event_time", "icao24")
+    known = df.filter(F.col("event_time").isNotNull() & F.col(measure).isNotNull())
+    return known.select("icao24", "event_time", measure).orderBy("event_time", "icao24")
 
 
 def altitude_velocity_pairs(df: DataFrame) -> DataFrame:
-    return df.select("icao24", "callsign", "origin_country", "velocity", "baro_altitude").dropna(
-        subset=["velocity", "baro_altitude"]
-    )
+    known = df.filter(F.col("velocity").isNotNull() & F.col("baro_altitude").isNotNull())
+    return known.select("icao24", "callsign", "origin_country", "velocity", "baro_altitude")

@@ -229,8 +229,27 @@ def _(p: Inputs):
     return geo.radius_split(p.silver, km=500)
 
 
-@query("radar_kpis", BASE + f"""
-  , seen as (select *, {FROM_CENTRE} as km, cast(floor(velocity * 1.94384e0 + 0.5e0) as bigint) as kt from live),
+@query("radar_rows", BASE + f"""
+  , linked as (select *, lag(baro_altitude) over (partition by icao24 order by time_position) as before from kept)
+  select icao24, callsign, squawk, case when {FROM_CENTRE} <= 500 then 'local' else 'other' end as side,
+    {half_away(FROM_CENTRE, 1)} as distance_km,
+    case when baro_altitude <> 0 then cast(floor(baro_altitude * 3.28084e0 + 0.5e0) as bigint) end as altitude_ft,
+    coalesce(cast(floor(velocity * 1.94384e0 + 0.5e0) as bigint), 0) as speed_kt,
+    case when baro_altitude > before + 10 then 'up' when baro_altitude < before - 10 then 'down' else '=' end as trend
+  from (select * from linked where event_time > timestamp '2024-01-31 00:00:00' - interval '1440' minute
+        qualify row_number() over (partition by icao24 order by time_position desc) = 1) where {PLACED}""")
+def _(p: Inputs):
+    latest = tracks.latest_positions(tracks.altitude_trend(p.silver), p.as_of, p.minutes)
+    return geo.radar_rows(latest, km=500).select(
+        "icao24", "callsign", "squawk", "side", F.round("distance_km", 1).alias("distance_km"),
+        "altitude_ft", "speed_kt", "trend",
+    )
+
+
+def _radar_sql(chosen: str) -> str:
+    return BASE + f"""
+  , seen as (select *, {FROM_CENTRE} as km, cast(floor(velocity * 1.94384e0 + 0.5e0) as bigint) as kt
+             from live where {chosen}),
   fast as (select * from seen where kt > 0 order by kt desc, km, callsign desc limit 1),
   high as (select * from seen where baro_altitude > 0 order by baro_altitude desc, km, callsign desc limit 1),
   busy as (select substring(callsign, 1, 3) as code, count(*) as n from seen where callsign is not null
@@ -241,11 +260,20 @@ def _(p: Inputs):
     (select cast(floor(baro_altitude * 3.28084e0 + 0.5e0) as bigint) from high) as highest_ft,
     (select callsign from high) as highest_callsign,
     (select code from busy) as top_airline, (select n from busy) as top_airline_count,
-    (select count(*) from seen where squawk = '7700') as emergencies""")
+    (select count(*) from seen where squawk = '7700') as emergencies"""
+
+
+@query("radar_kpis", _radar_sql("true"))
 def _(p: Inputs):
     return geo.radar_kpis(tracks.latest_positions(p.silver, p.as_of, p.minutes), km=500)
 
 
+@query("radar_kpis_search", _radar_sql("contains(callsign, 'IGO')"))
+def _(p: Inputs):
+    found = clean.search_callsign(tracks.latest_positions(p.silver, p.as_of, p.minutes), "igo")
+    return geo.radar_kpis(found, km=500)
+
+
 @query("emergencies", BASE + f"select event_id, icao24, callsign, {stamp()} from kept where squawk = '7700'")
 def _(p: Inputs):
     return geo.emergencies(p.silver).select("event_id", "icao24", "callsign", "event_time")

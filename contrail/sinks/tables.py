@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail import schema as S
-from contrail.operators import clean, marts
+from contrail.operators import clean, marts, tracks
 
 
 class EmptyInput(ValueError):
@@ -187,6 +187,9 @@ def create_views(spark: SparkSession, silver: DataFrame) -> list[str]:
     """Register the staging view and the marts; returns their names."""
     views = {
         "stg_positions": clean.stg_positions(silver),
+        "fact_positions": tracks.fact_positions(silver),
+        "dim_aircraft": tracks.dim_aircraft(silver),
+        "dim_airlines": marts.dim_airlines(silver),
         "daily_flight_counts": marts.daily_country_counts(silver),
         "hourly_flight_activity": marts.hourly_activity_by_date(silver),
         "top_airlines": marts.top_airlines(silver),

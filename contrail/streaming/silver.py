@@ -20,7 +20,8 @@ def add_batch(batch: DataFrame, batch_id: int, path: str, as_of: str, tie_break:
     wrote before.
     """
     spark = batch.sparkSession
-    rows = clean.to_silver(batch, as_of, tie_break)
+    # Read twice: for the dates and for the rows.
+    cleaned = rows = clean.to_silver(batch, as_of, tie_break).persist()
     if _exists(spark, path):
         # A list of dates: one per day the batch touches.
         days = [row[0] for row in rows.select("partition_date").distinct().collect()]
@@ -35,6 +36,7 @@ def add_batch(batch: DataFrame, batch_id: int, path: str, as_of: str, tie_break:
         .partitionBy("partition_date", "batch_id")
         .parquet(path)
     )
+    cleaned.unpersist()
 
 
 def silver_stream(
