@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from contrail.schema import RADAR_CENTRE
 
 SILENCE_SECONDS = 45
 
+# Order of a report's fields in the state.
 REPORT = ["time_position", "latitude", "longitude", "baro_altitude", "velocity", "callsign", "squawk"]
 
 _POINTS = T.ArrayType(
@@ -37,6 +39,7 @@ _STATE = T.StructType(
         T.StructField("velocity", T.ArrayType(T.DoubleType())),
         T.StructField("callsign", T.ArrayType(T.StringType())),
         T.StructField("squawk", T.ArrayType(T.StringType())),
+        T.StructField("expiry", T.LongType()),
     ]
 )
 
@@ -57,27 +60,30 @@ LIVE = T.StructType(
 )
 
 
-def newest(frames: list[pd.DataFrame], n: int) -> pd.DataFrame:
-    """The last `n` distinct seconds, oldest first."""
-    rows = pd.concat(frames, ignore_index=True)
-    return rows.drop_duplicates("time_position").nlargest(n, "time_position").iloc[::-1]
+def newest(held: dict[int, tuple], chunk: pd.DataFrame, n: int) -> dict[int, tuple]:
+    """The last `n` distinct seconds of `held` and `chunk`, oldest first."""
+    _, last = np.unique(chunk["time_position"].to_numpy(), return_index=True)
+    rows = chunk.iloc[last[-n:]]
+    columns = [[None if value != value else value for value in rows[name].tolist()] for name in REPORT]
+    merged = {row[0]: row for row in zip(*columns)} | held
+    return {second: merged[second] for second in sorted(merged)[-n:]}
 
 
-def unbroken(rows: pd.DataFrame, silence: int) -> pd.DataFrame:
+def unbroken(rows: list[tuple], silence: int) -> list[tuple]:
     """The end of `rows` that has no silence in it."""
-    breaks = (rows["time_position"].diff() > silence).to_numpy().nonzero()[0]
-    return rows.iloc[breaks[-1] :] if len(breaks) else rows
+    start = len(rows) - 1
+    while start > 0 and rows[start][0] - rows[start - 1][0] <= silence:
+        start -= 1
+    return rows[start:]
 
 
-def trend(rows: pd.DataFrame) -> str:
-    if len(rows) < 2:
+def trend(rows: list[tuple]) -> str:
+    """Altitude against the report before: `up`, `down`, or `=` if alike or unknown."""
+    altitudes = [row[REPORT.index("baro_altitude")] for row in rows[-2:]]
+    if len(altitudes) < 2 or None in altitudes:
         return "="
-    before, now = rows["baro_altitude"].iloc[-2], rows["baro_altitude"].iloc[-1]
-    if now > before + TREND_METRES:
-        return "up"
-    if now < before - TREND_METRES:
-        return "down"
-    return "="
+    climb = altitudes[1] - altitudes[0]
+    return "up" if climb > TREND_METRES else "down" if climb < -TREND_METRES else "="
 
 
 class LiveTracker(StatefulProcessor):
@@ -94,42 +100,33 @@ class LiveTracker(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("reports", _STATE)
 
-    def _row(self, key, status: str, rows: pd.DataFrame) -> pd.DataFrame:
-        last = rows.iloc[-1]
-        trail = rows.tail(TRAIL_POINTS)[["time_position", "latitude", "longitude"]]
-        out = {"icao24": key[0], "status": status, "trend": trend(rows)}
-        out |= {name: last[name] for name in REPORT}
+    def _row(self, key, status: str, rows: list[tuple]) -> pd.DataFrame:
+        out = dict(zip(REPORT, rows[-1])) | {"icao24": key[0], "status": status, "trend": trend(rows)}
         out["trail"] = [
-            {"time_position": int(t), "latitude": float(la), "longitude": float(lo)}
-            for t, la, lo in trail.itertuples(index=False)
+            {"time_position": row[0], "latitude": row[1], "longitude": row[2]} for row in rows[-TRAIL_POINTS:]
         ]
-        return pd.DataFrame([out], columns=LIVE.fieldNames())
-
-    def _load(self) -> list[pd.DataFrame]:
-        if not self.state.exists():
-            return []
-        return [pd.DataFrame(dict(zip(REPORT, self.state.get())), columns=REPORT)]
+        return pd.DataFrame({name: [out[name]] for name in LIVE.fieldNames()})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self._load()
+        stored = self.state.get()
+        held = {}
+        if stored:
+            held = {row[0]: row for row in zip(*stored[: len(REPORT)])}
+            self.handle.deleteTimer(stored[-1])
         for chunk in rows:
-            held = [newest([*held, chunk[REPORT]], TRAIL_POINTS + 1)]
-        current = unbroken(held[0], self.silence)
-        values = [
-            [None if pd.isna(value) else value for value in current[name].tolist()] for name in REPORT
-        ]
-        self.state.update(tuple(values))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        expiry = (int(current["time_position"].iloc[-1]) + self.silence) * 1000
-        self.handle.registerTimer(max(expiry, timerValues.getCurrentWatermarkInMs() + 1))
+            held = newest(held, chunk, TRAIL_POINTS + 1)
+        current = unbroken(list(held.values()), self.silence)
+        expiry = (current[-1][0] + self.silence) * 1000
+        expiry = max(expiry, timerValues.getCurrentWatermarkInMs() + 1)
+        self.state.update((*[list(column) for column in zip(*current)], expiry))
+        self.handle.registerTimer(expiry)
         yield self._row(key, "live", current)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self._load()
-        self.state.clear()
-        if held:
-            yield self._row(key, "expired", held[0])
+        stored = self.state.get()
+        if stored:
+            self.state.clear()
+            yield self._row(key, "expired", list(zip(*stored[: len(REPORT)])))
 
     def close(self) -> None:
         pass

@@ -160,9 +160,8 @@ def test_trend_and_trail(spark, tmp_path):
     ((1000.0, 1010.0), "="), ((1000.0, 1011.0), "up"), ((1000.0, 989.0), "down"), ((None, 500.0), "="), ((500.0, None), "="),
 ])
 def test_trend(altitudes, expected):
-    import pandas as pd
-
-    assert live.trend(pd.DataFrame({"baro_altitude": pd.Series(altitudes, dtype="float64")})) == expected
+    rows = [(i, 0.0, 0.0, altitude, None, None, None) for i, altitude in enumerate(altitudes)]
+    assert live.trend(rows) == expected
 
 
 def test_silence_ends_a_track(spark, tmp_path):
