@@ -220,7 +220,7 @@ def dedupe(
 
 def to_silver(raw: DataFrame, as_of: str, tie_break: list[str] | None = None) -> DataFrame:
     """Normalise, validate, date and de-duplicate raw reports."""
-    valid, _ = validate(normalise(raw), as_of)
+    valid = normalise(raw).filter(passes(as_of))
     return with_partition_date(to_event_time(dedupe(valid, tie_break=tie_break)))
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join by hash, without a sort, where every shuffled part of the small side is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # HotSpot interprets methods above this size, so wide expressions run faster unfused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Timers and per-key state of the live tracker need this store.

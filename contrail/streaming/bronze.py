@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.sources.streams import read_stream
+
+# Rows and time between flushes of the landing job.
+FLUSH_ROWS = 1000
+FLUSH_INTERVAL = "300 seconds"
+
 
 def write_bronze_stream(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    interval: str | None = "300 seconds",
+    interval: str | None = FLUSH_INTERVAL,
     fmt: str = "json",
 ) -> StreamingQuery:
     """Append messages as files below their arrival date.
@@ -30,3 +36,19 @@ def write_bronze_stream(
     )
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start(path)
+
+
+def land_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    path: str,
+    checkpoint: str,
+    max_rows: int = FLUSH_ROWS,
+    interval: str | None = FLUSH_INTERVAL,
+) -> StreamingQuery:
+    """Land a topic: a flush takes at most `max_rows` messages. Needs the Kafka connector."""
+    stream = read_stream(
+        spark, "kafka", topic, max_per_trigger=max_rows, options={"kafka.bootstrap.servers": servers}
+    )
+    return write_bronze_stream(stream, path, checkpoint, interval)
