@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="contrail-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -15,6 +17,10 @@ from contrail.operators.geo import with_distance
 from contrail.operators.tracks import TRAIL_POINTS, TREND_METRES
 from contrail.schema import RADAR_CENTRE
 
+# The handler travels to the executors whole, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Fixed value: silence that ends a track.
 SILENCE_SECONDS = 45
 
 # Order of a report's fields in the state.

@@ -2,8 +2,11 @@
 
 import json
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from contrail import schema as S
@@ -164,6 +167,25 @@ def test_trend(altitudes, expected):
     assert live.trend(rows) == expected
 
 
+def test_handler_needs_no_package_on_the_executors(tmp_path):
+    (tmp_path / "handler").write_bytes(cloudpickle.dumps(live.LiveTracker(45)))
+    load = "import pickle, sys; print(pickle.load(open(sys.argv[1], 'rb')).silence, 'contrail' in sys.modules)"
+    done = subprocess.run(
+        [sys.executable, "-c", load, str(tmp_path / "handler")], cwd=tmp_path, capture_output=True, text=True
+    )
+    assert done.stdout.strip() == "45 False", done.stderr
+
+
+def test_busy_aircraft_is_cut_as_it_comes():
+    import pandas as pd
+
+    times = list(range(5000)) * 2
+    chunk = pd.DataFrame({name: times if name == "time_position" else 0.0 for name in live.REPORT})
+    held = live.newest({}, chunk, 11)
+    assert list(held) == list(range(4989, 5000))
+    assert list(live.newest(held, chunk[:100], 11)) == list(held)
+
+
 def test_silence_ends_a_track(spark, tmp_path):
     rows = track(
         spark, tmp_path,
