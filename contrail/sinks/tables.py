@@ -81,13 +81,16 @@ def newer_than(source: DataFrame, target: DataFrame, watermark: str) -> DataFram
     return source.filter(high.isNull() | (F.col(watermark) > high))
 
 
-def merge_rows(
-    changes: DataFrame, target: DataFrame, key: str, watermark: str, tie_break: list[str] | None = None
+def last_per_key(
+    changes: DataFrame, key: str, watermark: str, tie_break: list[str] | None = None
 ) -> DataFrame:
-    """Target rows whose key is not in `changes`, and the last change per key."""
     ties = [F.col(name).desc() for name in tie_break] if tie_break else [F.xxhash64(*changes.columns)]
     order = Window.partitionBy(key).orderBy(F.col(watermark).desc(), *ties)
-    latest = changes.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    return changes.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+
+
+def merge_rows(latest: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key has no change, and the changes."""
     return target.join(latest.select(key), key, "left_anti").unionByName(latest)
 
 
@@ -113,24 +116,32 @@ def upsert_incremental(
 
     if _exists(spark, f"{staged}/_SUCCESS"):
         move_in()
-    if _exists(spark, path):
-        target = spark.read.schema(source.schema).parquet(path)
-        changes = newer_than(source, target, watermark)
-    else:
-        target, changes = None, source
-    # One row per day that received rows.
-    per_day = dict(changes.groupBy(partition).count().collect())
-    if not per_day:
-        return 0
-    if target is None:
-        touched = source.limit(0)
-    else:
-        touched = target.filter(F.col(partition).isin(list(per_day)))
-    merged = merge_rows(changes, touched, key, watermark)
-    _balanced(merged, partition).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(partition).parquet(staged)
-    move_in()
+    def stage(rows: DataFrame) -> None:
+        _balanced(rows, partition).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy(partition).parquet(staged)
+
+    if not _exists(spark, path):
+        if source.isEmpty():
+            return 0
+        watched, watch = observed(source, f"first load of {path}")
+        stage(last_per_key(watched, key, watermark))
+        move_in()
+        return watch.get["rows"]
+
+    target = spark.read.schema(source.schema).parquet(path)
+    # Only what is new since the last load; read for its dates and for the merge.
+    changes = newer_than(source, target, watermark).persist()
+    try:
+        # One row per day that received rows.
+        per_day = dict(changes.groupBy(partition).count().collect())
+        if per_day:
+            touched = target.filter(F.col(partition).isin(list(per_day)))
+            stage(merge_rows(last_per_key(changes, key, watermark), touched, key))
+    finally:
+        changes.unpersist()
+    if per_day:
+        move_in()
     return sum(per_day.values())
 
 

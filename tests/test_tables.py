@@ -43,6 +43,14 @@ def test_upsert(spark, tmp_path):
     assert content(spark, path) == {"a": 1.0, "b": 4.0, "c": 5.0}
 
 
+def test_upsert_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    row = facts(spark, ("a", "2024-01-01 10:00", "2024-01-01", 1))
+    assert tables.upsert_incremental(row.limit(0), path) == 0
+    assert tables.upsert_incremental(row, path) == 1
+    assert content(spark, path) == {"a": 1.0}
+
+
 def test_upsert_leaves_other_dates_alone(spark, tmp_path):
     path = tmp_path / "facts"
     tables.upsert_incremental(
