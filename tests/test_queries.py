@@ -4,6 +4,7 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from contrail.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, duck, name):
     frame = entry.queries()[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
