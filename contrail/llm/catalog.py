@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import exact_dedup, mixing
+from contrail.llm import exact_dedup, mixing, packing
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
     "op2_exact_dedup": lambda spark, d: exact_dedup.op2(table(spark, d, "documents")),
+    "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
 }
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
