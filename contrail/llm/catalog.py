@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import exact_dedup, language_id, mixing, packing
+from contrail.llm import exact_dedup, language_id, mixing, ngram_join, packing
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op2_exact_dedup": lambda spark, d: exact_dedup.op2(table(spark, d, "documents")),
     "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
     "op5_language_id": lambda spark, d: language_id.op5(table(spark, d, "documents")),
+    "op6_ngram_join": lambda spark, d: ngram_join.op6(table(spark, d, "documents")),
 }
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
