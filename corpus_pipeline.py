@@ -4,23 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import exact_dedup, mixing
+from contrail.llm import exact_dedup, language_id, mixing, ngram_join, packing
 from contrail.llm.common import stored, table
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the labelled languages; those without text or letters go."""
+    return language_id.known_language(docs)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, that of the smallest id."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8, that of the smallest id."""
+    return ngram_join.drop_near_copies(docs, n=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares: a row for each time a document is taken."""
     return mixing.mixed(docs)
 
 
-STAGES = [("exact_dedup", drop_exact_copies), ("mixing", mix_sources)]
-ORACLE_SQL = None  # language ID and packing can't be expressed
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row's tokens as pieces with their place in a sequence."""
+    return packing.op4(docs)
+
+
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("exact_dedup", drop_exact_copies),
+    ("ngram_join", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+# SQL has neither the language profiles nor the packing; tests/llm compares with a plain run.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each stored as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
