@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import exact_dedup, language_id, licenses, mixing, ngram_join, packing
+from contrail.llm import chat, exact_dedup, language_id, licenses, mixing, ngram_join, packing
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,11 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": lambda spark, d: language_id.op5(table(spark, d, "documents")),
     "op6_ngram_join": lambda spark, d: ngram_join.op6(table(spark, d, "documents")),
     "op7_licenses": lambda spark, d: licenses.op7(table(spark, d, "documents")),
+    "op9_chat": lambda spark, d: chat.op9(table(spark, d, "conversations")),
 }
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op7_licenses": licenses.sql(),
+    "op9_chat": chat.OP9_SQL,
 }
