@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import chat, exact_dedup, language_id, licenses, mixing, ngram_join, packing, secrets
+from contrail.llm import chat, exact_dedup, hilbert, language_id, licenses, mixing, ngram_join, packing, secrets
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_mixing": lambda spark, d: mixing.op1(table(spark, d, "documents")),
     "op2_exact_dedup": lambda spark, d: exact_dedup.op2(table(spark, d, "documents")),
+    "op3_hilbert": lambda spark, d: hilbert.op3(table(spark, d, "embeddings")),
     "op4_packing": lambda spark, d: packing.op4(table(spark, d, "documents")),
     "op5_language_id": lambda spark, d: language_id.op5(table(spark, d, "documents")),
     "op6_ngram_join": lambda spark, d: ngram_join.op6(table(spark, d, "documents")),
