@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import chat, exact_dedup, hilbert, language_id, licenses, mixing, ngram_join, packing, secrets
+from contrail.llm import chat, exact_dedup, hilbert, language_id, licenses, mixing, ngram_join, packing, secrets, token_store
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": lambda spark, d: language_id.op5(table(spark, d, "documents")),
     "op6_ngram_join": lambda spark, d: ngram_join.op6(table(spark, d, "documents")),
     "op7_licenses": lambda spark, d: licenses.op7(table(spark, d, "documents")),
+    "op8_token_store": lambda spark, d: token_store.op8(table(spark, d, "documents")),
     "op9_chat": lambda spark, d: chat.op9(table(spark, d, "conversations")),
     "op10_secrets": lambda spark, d: secrets.op10(table(spark, d, "documents")),
 }
