@@ -4,20 +4,30 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+import struct
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 # Each worker remembers the ids of at most so many words, none longer than MAX_WORD characters.
 # When full it starts afresh, which changes no result.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 700_000
 MAX_WORD = 64
-
+# Texts that are split at a time.
+AT_ONCE = 128
+
+# Control characters and white space beyond ASCII that versions of Unicode see differently, and
+# what special tokens begin with. Texts that have any are encoded in one piece.
+ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+ODD = (*ODD_ASCII, *map(chr, (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F)))
+ODD += tuple(map(chr, (0x2060, 0x3000, 0xFEFF)))
+# Other white space than single blanks and line ends.
+SPACED = ("\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
 # A byte-level tokenizer puts one blank with the word after it, and of more white space all
-# but the last character on its own. A word tokenizer drops white space.
+# but the last character on its own.
 BYTE_LEVEL = re.compile(r" ?[^\t-\r ]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
-WORD_LEVEL = re.compile(r"[^\t-\r ]+")
-# White space beyond ASCII, and special tokens: such texts are encoded in one piece.
-ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\|")
+# A word of letters that any version of Unicode calls so, with a line end before it or a mark after it.
+PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,45 +36,92 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def odd(text: str) -> bool:
+    return any(x in text for x in (ODD_ASCII if text.isascii() else ODD))
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
     Texts are split where the tokenizer always splits, so that its ids for the parts, put together,
-    are its ids for the whole.
+    are its ids for the whole. A tokenizer that is not `byte_level` drops white space. Of one
+    that is, a part is kept under a key: the part without the blank it begins with, or the part
+    after a blank where it begins with none, or with a line end the part as it is.
     """
 
-    def __init__(self, path: str, parts: re.Pattern):
+    def __init__(self, path: str, byte_level: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = parts
+        self.byte_level = byte_level
         self.known: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        split = [[text] if ODD.search(text) else self.parts.findall(text) for text in texts]
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        if len(known) + len(new) > MAX_WORDS:
-            known.clear()
-            new = list(set().union(*split))
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Each text in one piece."""
+        return [_packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _keys(self, text: str) -> list[str]:
+        if not self.byte_level:
+            return text.split()
+        if any(x in text for x in SPACED):
+            return [p[1:] if p[0] == " " and p[1:].strip() else f" {p}" for p in BYTE_LEVEL.findall(text)]
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = f" {keys[0]}"
+        return keys
+
+    def _part(self, key: str) -> str:
+        if not self.byte_level or key[:1] == "\n":
+            return key
+        return key[1:] if key[:1] == " " else f" {key}"
+
+    def _learn(self, keys: set[str]) -> None:
+        """Ids of new keys; those of a word with a mark or a line end are put together."""
+        known, composed, new = self.known, [], set()
+        blank = " " if self.byte_level else ""
+        for key in keys:
+            plain = PLAIN.fullmatch(key)
+            if plain and (plain[1] == "\n" or plain[3]):
+                parts = [f"{blank}{x}" for x in ("\n",) if plain[1] == x]
+                parts.append((blank if plain[1] else "") + plain[2])
+                parts += [f"{blank}{x}" for x in (plain[3],) if x]
+                composed.append((key, parts))
+                new.update(x for x in parts if x not in known)
+            else:
+                new.add(key)
+        new = list(new)
         for start in range(0, len(new), 4096):
             some = new[start : start + 4096]
-            known.update(zip(some, self._whole(some)))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > MAX_WORD:
-                del known[word]
-        return out
+            known.update(zip(some, self.whole([self._part(k) for k in some])))
+        for key, parts in composed:
+            known[key] = b"".join([known[x] for x in parts])
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text, in order."""
+        texts = iter(texts)
+        while some := list(islice(texts, AT_ONCE)):
+            split = [None if odd(text) else self._keys(text) for text in some]
+            known = self.known
+            found = [list(map(known.get, keys or ())) for keys in split]
+            new = {k for keys, ids in zip(split, found) if None in ids for k, x in zip(keys, ids) if x is None}
+            if len(known) + len(new) > MAX_WORDS:
+                known.clear()
+                new.update(*filter(None, split))
+            self._learn(new)
+            for text, keys, ids in zip(some, split, found):
+                if keys is None:
+                    yield self.whole([text])[0]
+                else:
+                    yield b"".join([known[k] if x is None else x for k, x in zip(keys, ids)] if None in ids else ids)
+            for key in [k for k in new if len(k) > MAX_WORD]:
+                del known[key]
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str, byte_level: bool) -> Encoder:
     """One encoder for all tasks of a worker."""
-    return Encoder(path, BYTE_LEVEL if byte_level else WORD_LEVEL)
+    return Encoder(path, byte_level)

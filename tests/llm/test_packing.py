@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm import packing, tokens
-from contrail.llm.tokens import BYTE_LEVEL, WORD_LEVEL, Encoder, tokenizer_path
+from contrail.llm.tokens import Encoder, tokenizer_path
 
 ODD_TEXTS = [
     "", " ", "  ", "\n", "a  b", " a", "a ", "it's don't I'LL", "a\n\nb", "a \n b", "\t\ta\r\nb", "x\xa0\n\ny", "a\u3000 b",
@@ -19,19 +19,20 @@ ODD_TEXTS = [
 
 def random_texts(n):
     rng = random.Random(5)
-    alphabet = "ab'st.,!1 2\n\t é日\u0301\xa0\u2003\u3000Σİ-_<|>\r\x0b\x1c\x85\u200b"
+    alphabet = "abab  .,\n'st.,!1 2\n\t é日\u0301\xa0\u2003\u3000Σİ-_<|>\r\x0b\x1c\x85\u200b"
     return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("name,parts", [("byte_bpe_50k.json", BYTE_LEVEL), ("word_bpe_49k.json", WORD_LEVEL)])
-def test_ids_by_parts_are_ids_of_the_whole(name, parts, monkeypatch):
-    own = Encoder(tokenizer_path(name), parts)
+@pytest.mark.parametrize("name,byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_by_parts_are_ids_of_the_whole(name, byte_level, monkeypatch):
+    own = Encoder(tokenizer_path(name), byte_level)
     texts = ODD_TEXTS + random_texts(20000)
-    whole = own._whole(texts)
+    texts += ["one,two, three.\nFour\n", "ñu. ñu, ñu\nñu", "x,. y.,\n.z", "don't, Don'T.", "a.b, \nc", "Σ, σ. ä́."]
+    whole = own.whole(texts)
     for _ in range(2):
-        assert own.encode(texts) == whole
+        assert list(own.encode(texts)) == whole
     monkeypatch.setattr(tokens, "MAX_WORDS", 50)
-    assert own.encode(texts[:500]) == whole[:500]
+    assert list(own.encode(texts[:500])) == whole[:500]
 
 
 def check_plan(counts, capacity):
@@ -112,10 +113,10 @@ def test_pack_documents(spark):
     data = [(i, t, "clash", 3) for i, t in enumerate(texts)] + [(900, None, None, None), (901, "", "", 0), (None, "y", "", 0)]
     data += [(902, "same words", "", 0)] * 40
     got = packing.op4(rows(spark, data)).collect()
-    own = Encoder(tokenizer_path(packing.TOKENIZER), BYTE_LEVEL)
+    own = Encoder(tokenizer_path(packing.TOKENIZER), True)
     want = Counter()
     for doc, text, *_ in data:
-        ids = own._whole([text or ""])[0] + (2).to_bytes(4, "little")
+        ids = own.whole([text or ""])[0] + (2).to_bytes(4, "little")
         for i, (start, n) in enumerate(packing.cut(len(ids) // 4, 1024)):
             want[(doc, i, start, n, crc32(ids[4 * start : 4 * (start + n)]))] += 1
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
