@@ -21,6 +21,8 @@ BLOCKS = 64
 # Documents to verify are picked out of the texts by a set of so many bits; other documents
 # that it lets through are dropped by the join after it.
 PICK_BITS = 24
+# Ranges of the hash in which the suffix filter counts a document's shingles, up to 255 in each.
+RANGE_BITS = 7
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -57,6 +59,12 @@ def _bucket(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+def range_counts(found: np.ndarray) -> bytes:
+    """How many of a document's shingles lie in each range of the hash."""
+    ranges = (found >> np.uint64(64 - RANGE_BITS)).astype(np.int64)
+    return np.minimum(np.bincount(ranges, minlength=1 << RANGE_BITS), 255).astype(np.uint8).tobytes()
+
+
 def shingle_counts(texts: DataFrame, n: int) -> np.ndarray:
     """How many documents' shingles fall in each bucket, over all rows of `texts` (one column).
 
@@ -94,7 +102,7 @@ def shingle_counts(texts: DataFrame, n: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(id, text_hash, n_shingles, signature, prefix); signature and prefix are null without shingles.
+    """(id, text_hash, n_shingles, signature, ranges, prefix); the last three are null without shingles.
 
     Two sets that overlap enough share a shingle of both prefixes. Rare buckets come first.
     """
@@ -108,19 +116,19 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for doc, text, text_hash in zip(frame["_id"], frame["_text"], frame["_text_hash"]):
                 found = shingles(text, n)
                 if not len(found):
-                    out.append((doc, text_hash, 0, None, None))
+                    out.append((doc, text_hash, 0, None, None, None))
                     continue
                 order = np.argsort(counts.value[_bucket(found)], kind="stable")
                 most = len(found) - (percent * len(found) + 99) // 100 + 1
                 signature = xxhash.xxh3_128_digest(found.tobytes())
-                out.append((doc, text_hash, len(found), signature, found[order[:most]].view(np.int64)))
-            yield pd.DataFrame(out, columns=["id", "text_hash", "n_shingles", "signature", "prefix"]).astype(
-                {"id": "Int64"}
-            )
+                prefix = found[order[:most]].view(np.int64)
+                out.append((doc, text_hash, len(found), signature, range_counts(found), prefix))
+            columns = ["id", "text_hash", "n_shingles", "signature", "ranges", "prefix"]
+            yield pd.DataFrame(out, columns=columns).astype({"id": "Int64"})
 
     return stored(
         docs.mapInPandas(
-            run, "id long, text_hash long, n_shingles long, signature binary, prefix array<long>"
+            run, "id long, text_hash long, n_shingles long, signature binary, ranges binary, prefix array<long>"
         ),
         "shingle-prefixes",
     )
@@ -139,32 +147,38 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (shorter * 100 >= longer * percent) & _enough(room, size_a + size_b, percent)
 
 
+def suffix_filter(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may link, from the sum of both sizes and how many shingles each has in every range.
+
+    What two sets hold in a range differs by the difference of its counts at least.
+    """
+    apart = np.abs(a.astype(np.int64) - b).sum(1)
+    return (sizes - apart) * (100 + percent) >= 2 * percent * sizes
+
+
 def overlaps(a: bytes, b: bytes, percent: int) -> bool:
-    """Do two sets link? The suffix filter comes first: how many shingles each has in 16 ranges of the hash."""
+    """Do two sets link?"""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    edges = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
-    cut_x, cut_y = (np.diff(np.searchsorted(s, edges), prepend=0, append=len(s)) for s in (x, y))
-    apart = int(np.abs(cut_x - cut_y).sum())
     total = len(x) + len(y)
-    if (total - apart) * (100 + percent) < 2 * percent * total:
-        return False
     shared = total - len(np.union1d(x, y))
     return shared * 100 >= percent * (total - shared)
 
 
+def _bits(slots: DataFrame) -> np.ndarray:
+    """Which of 2 ** PICK_BITS slots occur in the column `slot`; at most 2 ** PICK_BITS / 64 rows are collected."""
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits")
+    )
+    found = np.zeros((1 << PICK_BITS) // 64, np.int64)
+    for row in words.collect():
+        found[row["word"]] = row["bits"]
+    return np.unpackbits(found.view(np.uint8), bitorder="little").view(bool)
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, set) of `nodes` (node, signature, rep_id), from the texts."""
-    size = 1 << PICK_BITS
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(size)).cast("int")
-    words = (
-        nodes.select(slot("rep_id").alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits"))
-    )
-    picked = np.zeros(size // 64, np.int64)
-    for row in words.collect():  # at most 2 ** PICK_BITS / 64 rows
-        picked[row["word"]] = row["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(picked.view(np.uint8), bitorder="little").view(bool))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << PICK_BITS)).cast("int").alias("slot")
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(nodes.select(slot("rep_id"))))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -173,13 +187,24 @@ def _sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
             found = [s.tobytes() for t in frame["_text"][shared.value[frame["slot"].to_numpy()]] if len(s := shingles(t, n))]
             yield pd.DataFrame({"signature": [xxhash.xxh3_128_digest(s) for s in found], "set": found})
 
-    found = docs.select("_text", slot("_id").alias("slot")).mapInPandas(run, "signature binary, set binary")
+    found = docs.select("_text", slot("_id")).mapInPandas(run, "signature binary, set binary")
     found = found.dropDuplicates(["signature"]).join(nodes.select("node", "signature"), "signature")
     return stored(found.select("node", "set"), "shingle-sets")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of `pairs` (a, b) that link."""
+    """Those of `pairs` (a, b) that link: by the suffix filter first, then by the sets themselves."""
+    counts = nodes.select("node", "n_shingles", "ranges")
+    known = pairs.join(counts.toDF("a", "size_a", "ranges_a"), "a").join(counts.toDF("b", "size_b", "ranges_b"), "b")
+
+    def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                x, y = (np.frombuffer(b"".join(frame[c]), np.uint8).reshape(len(frame), -1) for c in ("ranges_a", "ranges_b"))
+                sizes = (frame["size_a"] + frame["size_b"]).to_numpy()
+                yield frame.loc[suffix_filter(sizes, x, y, percent), ["a", "b"]]
+
+    pairs = stored(known.mapInPandas(pick, "a long, b long"), "shingle-candidates")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = _sets(docs, nodes.join(ends, "node", "left_semi"), n)
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
@@ -195,6 +220,38 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b")]
 
 
+def _shared_postings(nodes: DataFrame) -> DataFrame:
+    """(shingle, pos, size, node) of the prefix shingles that more than one set has.
+
+    Of most shingles only the count is shuffled: postings are picked out by a set of bits before.
+    """
+    all_of = nodes.select(F.explode("prefix").alias("shingle"))
+    lists = all_of.groupBy("shingle").agg(F.count(F.lit(1)).alias("_sets")).filter("_sets > 1").select("shingle")
+    lists = stored(lists, "shingle-lists")
+    slot = F.shiftrightunsigned("shingle", 64 - PICK_BITS).cast("int").alias("slot")
+    shared = nodes.sparkSession.sparkContext.broadcast(_bits(lists.select(slot)))
+
+    def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if not len(frame):
+                continue
+            lengths = frame["prefix"].map(len).to_numpy()
+            shingle = np.concatenate(frame["prefix"].to_list()).astype(np.int64)
+            pos = np.arange(len(shingle)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            all_rows = pd.DataFrame(
+                {
+                    "shingle": shingle,
+                    "pos": pos.astype(np.int32),
+                    "size": np.repeat(frame["n_shingles"].to_numpy(np.int32), lengths),
+                    "node": np.repeat(frame["node"].to_numpy(), lengths),
+                }
+            )
+            yield all_rows[shared.value[shingle.view(np.uint64) >> np.uint64(64 - PICK_BITS)]]
+
+    postings = nodes.select("node", "n_shingles", "prefix").mapInPandas(pick, "shingle long, pos int, size int, node long")
+    return stored(postings.join(lists, "shingle", "left_semi"), "shingle-postings")
+
+
 def _linked(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, root): which of the distinct sets `nodes` are linked, directly or through others.
 
@@ -202,17 +259,11 @@ def _linked(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFram
     first: of near copies, the one that the others were made from. Then only sets of one list
     that are not linked yet are compared, so that a large group of near copies is not paired out.
     """
-    postings = nodes.select(
-        "node", F.col("n_shingles").cast("int").alias("size"), F.posexplode("prefix").alias("pos", "shingle")
-    )
-    lists = (
-        postings.groupBy("shingle")
-        .agg(F.count(F.lit(1)).alias("_sets"), F.min(F.struct("pos", "size", "node")).alias("lead"))
-        .filter("_sets > 1")
-        .drop("_sets")
-    )
-    shared = stored(postings.join(lists, "shingle"), "shingle-postings")
-    member = shared.select("shingle", "lead", F.struct("pos", "size", "node").alias("own"))
+    shared = _shared_postings(nodes)
+    order = F.struct("pos", "size", "node")
+    leads = shared.groupBy("shingle").agg(F.min(order).alias("lead"))
+    member = shared.join(leads, "shingle").select("shingle", "lead", order.alias("own"))
+    member = stored(member, "shingle-members")
     pairs = member.filter(F.expr("own.node <> lead.node") & _may_link("own", "lead", percent))
     pairs = stored(pairs.select(*_pair("own.node", "lead.node")).distinct(), "shingle-pairs")
     links = _verified(pairs, docs, nodes, n, percent)
@@ -261,6 +312,7 @@ def groups(
         .groupBy("signature")
         .agg(
             F.first("n_shingles").alias("n_shingles"),
+            F.first("ranges").alias("ranges"),
             F.first("prefix").alias("prefix"),
             F.min(F.struct("id", "text_hash")).alias("first"),
             F.max("id").alias("rep_id"),
