@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from contrail import schema as S
 
 
+# Fixed value: an aircraft address; \z, because $ also matches before a last line end.
+ADDRESS = r"\A[0-9a-fA-F]{6}\z"
+
+
 class SchemaDrift(ValueError):
     """A required column is missing or has the wrong type."""
 
@@ -44,13 +48,19 @@ def filter_min_fields(df: DataFrame, states: str = "state", n: int = S.MIN_STATE
 # --- validation ------------------------------------------------------------
 
 
-def epoch_seconds(as_of: str) -> int:
-    """Epoch seconds of a time written in UTC."""
+def epoch_seconds(as_of: str | Column) -> int | Column:
+    """Epoch seconds of a time written in UTC, or of a row's own time."""
+    if isinstance(as_of, Column):
+        return F.unix_timestamp(as_of)
     return int(datetime.fromisoformat(as_of).replace(tzinfo=UTC).timestamp())
 
 
-def failures(as_of: str) -> dict[str, Column]:
-    """One never-null condition per rule, true where the rule is broken."""
+def failures(as_of: str | Column) -> dict[str, Column]:
+    """One never-null condition per rule, true where the rule is broken.
+
+    `as_of` is the time that reports are judged at. A feed that runs on gives a column, such as
+    the time when each report came in, so that its clock goes on too.
+    """
     now = epoch_seconds(as_of)
     time = F.col("time_position")
 
@@ -58,7 +68,7 @@ def failures(as_of: str) -> dict[str, Column]:
         return F.coalesce(condition, F.lit(False))
 
     return {
-        "icao24": ~F.coalesce(F.col("icao24").rlike("^[0-9a-fA-F]{6}$"), F.lit(False)),
+        "icao24": ~F.coalesce(F.col("icao24").rlike(ADDRESS), F.lit(False)),
         "origin_country": F.col("origin_country").isNull(),
         "time_missing": time.isNull() | broken(time <= 0),
         "time_future": broken(time > now + S.FUTURE_SECONDS),
@@ -71,19 +81,20 @@ def failures(as_of: str) -> dict[str, Column]:
     }
 
 
-def with_reasons(df: DataFrame, as_of: str) -> DataFrame:
+def with_reasons(df: DataFrame, as_of: str | Column) -> DataFrame:
     """Add `reasons`, the names of all rules a row breaks."""
     flags = [F.when(bad, F.lit(name)) for name, bad in failures(as_of).items()]
     return df.withColumn("reasons", F.array_compact(F.array(*flags)))
 
 
-def passes(as_of: str) -> Column:
+def passes(as_of: str | Column) -> Column:
     """True where no rule is broken, as plain comparisons that reach the scan."""
     now = epoch_seconds(as_of)
     rules = [
-        F.col("icao24").rlike("^[0-9a-fA-F]{6}$"),
+        F.col("icao24").rlike(ADDRESS),
         F.col("origin_country").isNotNull(),
-        F.col("time_position") >= max(1, now - S.PAST_SECONDS),
+        F.col("time_position") > 0,
+        F.col("time_position") >= now - S.PAST_SECONDS,
         F.col("time_position") <= now + S.FUTURE_SECONDS,
         F.col("longitude").between(-180, 180),
         F.col("latitude").between(-90, 90),
@@ -93,7 +104,7 @@ def passes(as_of: str) -> Column:
     return reduce(lambda left, right: left & right, rules)
 
 
-def validate(df: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
+def validate(df: DataFrame, as_of: str | Column) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with `reasons`)."""
     return df.filter(passes(as_of)), with_reasons(df, as_of).filter(F.size("reasons") > 0)
 
@@ -218,14 +229,14 @@ def dedupe(
     return df.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
 
 
-def to_silver(raw: DataFrame, as_of: str, tie_break: list[str] | None = None) -> DataFrame:
+def to_silver(raw: DataFrame, as_of: str | Column, tie_break: list[str] | None = None) -> DataFrame:
     """Normalise, validate, date and de-duplicate raw reports."""
     valid = normalise(raw).filter(passes(as_of))
     return with_partition_date(to_event_time(dedupe(valid, tie_break=tie_break)))
 
 
 def route_dead_letters(
-    df: DataFrame, as_of: str, value: str = "value", schema: T.StructType = S.MESSAGE
+    df: DataFrame, as_of: str | Column, value: str = "value", schema: T.StructType = S.MESSAGE
 ) -> tuple[DataFrame, DataFrame]:
     """(parsed messages stamped with `processed_at`, unreadable messages with an error)."""
     corrupt = "_corrupt"
@@ -234,12 +245,12 @@ def route_dead_letters(
         T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
     )
-    split = df.select(F.col(value).alias("_text"), parsed.alias("_row"))
+    stamp = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp").alias("processed_at")
+    split = df.select(F.col(value).alias("_text"), parsed.alias("_row"), stamp)
     bad = F.col("_row").isNull() | F.col(f"_row.{corrupt}").isNotNull()
-    stamp = F.lit(as_of).cast("timestamp").alias("processed_at")
-    good = split.filter(~bad).select("_row.*", stamp).drop(corrupt)
+    good = split.filter(~bad).select("_row.*", "processed_at").drop(corrupt)
     dead = split.filter(bad).select(
-        F.lit("Invalid JSON").alias("error"), F.col("_text").alias("original_message"), stamp
+        F.lit("Invalid JSON").alias("error"), F.col("_text").alias("original_message"), "processed_at"
     )
     return good, dead
 
@@ -267,20 +278,18 @@ def filter_since(df: DataFrame, as_of: str, minutes: int, column: str = "event_t
 
 
 def filter_view(
-    df: DataFrame,
-    country: str = "All",
-    min_altitude: float = 0.0,
-    max_points: int = 10000,
-    load_limit: int = 50000,
+    df: DataFrame, country: str = "All", min_altitude: float = 0.0, max_points: int | None = None
 ) -> DataFrame:
-    """Rows behind the 3D view: the earliest `load_limit` airborne reports, then the filters."""
-    order = ["time_position", "icao24"]
-    loaded = (
-        filter_valid_coords(df).filter(F.col("baro_altitude") > 0).orderBy(*order).limit(load_limit)
-    )
+    """Airborne reports behind the 3D view, all that pass the filters.
+
+    `max_points` limits what is displayed: the earliest reports of those.
+    """
+    airborne = filter_valid_coords(df).filter((F.col("baro_altitude") > 0) & (F.col("baro_altitude") >= min_altitude))
     if country != "All":
-        loaded = loaded.filter(F.col("origin_country") == country)
-    return loaded.filter(F.col("baro_altitude") >= min_altitude).orderBy(*order).limit(max_points)
+        airborne = airborne.filter(F.col("origin_country") == country)
+    if max_points is None:
+        return airborne
+    return airborne.orderBy("time_position", "icao24").limit(max_points)
 
 
 def search_callsign(df: DataFrame, term: str) -> DataFrame:

@@ -24,20 +24,13 @@ from contrail.schema import EARTH_KM
 # Limits of the approach phase.
 APPROACH_ALTITUDE = 1500
 APPROACH_VELOCITY = 120
-MIN_APPROACH_POINTS = 10
 
 SPLIT = 4  # boxes per side and refinement step; a power of two keeps the split exact
 
 
-def low_slow(df: DataFrame, min_points: int = MIN_APPROACH_POINTS) -> DataFrame:
-    """Reports of the approach phase; none if there are fewer than `min_points`."""
-    rows = df.filter(
-        (F.col("baro_altitude") < APPROACH_ALTITUDE) & (F.col("velocity") < APPROACH_VELOCITY)
-    )
-    if not min_points:
-        return rows
-    enough = rows.agg(F.count(F.lit(1)) >= min_points).scalar()
-    return rows.filter(enough)
+def low_slow(df: DataFrame) -> DataFrame:
+    """Reports of the approach phase."""
+    return df.filter((F.col("baro_altitude") < APPROACH_ALTITUDE) & (F.col("velocity") < APPROACH_VELOCITY))
 
 
 class Grid:
@@ -254,23 +247,25 @@ def components(edges: DataFrame) -> DataFrame:
 # --- clustering ------------------------------------------------------------
 
 
-def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5, min_rows: int = 0) -> DataFrame:
+def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
     """Add `cluster`: 0, 1, .. in the order of each cluster's first core report, -1 for noise.
 
     A point counts among its own neighbours. A point on the edge of several clusters
     goes to the lowest number, as in the sequential method over rows in time order.
-    Fewer than `min_rows` rows give no result. The input is written out once, because it
-    is read at the start and again when the numbers are joined to it.
+    `eps_km` may be 50 at most: the grid is exact up to that reach. Longitudes may be written
+    either way at the date line. The input is written out once, because it is read at the start
+    and again when the numbers are joined to it.
     """
     session.shared_dir(df.sparkSession)
     grid = Grid(eps_km)
     rows = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).checkpoint()
+    # One way of writing a place comes first, or its sites would be told apart.
     lon = F.pmod(F.col("longitude") + 180.0, F.lit(360.0)) - 180.0
-    lon = F.when(F.col("longitude").between(-180, 179.9999999), F.col("longitude")).otherwise(lon)
+    lon = F.when(F.col("longitude").between(-180, 179.9999999), F.col("longitude")).otherwise(lon) + 0.0
+    place = [(F.col("latitude") + 0.0).alias("lat"), lon.alias("lon")]
     sites = (
-        rows.groupBy("latitude", "longitude")
+        rows.groupBy(*place)
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("time_position", "icao24")).alias("first"))
-        .select("latitude", "longitude", F.col("latitude").alias("lat"), lon.alias("lon"), "n", "first")
         .withColumns({"row": grid.row_at(F.col("lat")), "column": grid.column_at(F.col("lon"))})
         .withColumn("cell", grid.cell(F.col("row"), F.col("column")))
         .checkpoint()
@@ -278,8 +273,6 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5, min_rows: int =
     site_total, row_total = sites.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))
     ).first()
-    if row_total < min_rows:
-        return rows.withColumn("cluster", F.lit(-1)).limit(0)
     cells = sites.groupBy("cell").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("sites"), F.min("first").alias("first")
     )
@@ -373,7 +366,7 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5, min_rows: int =
     dense_label = cell_cluster.join(dense, "cell", "left_semi")
     labels = (
         salted_join(
-            sites.select("latitude", "longitude", "lat", "lon", "n", "cell"),
+            sites.select("lat", "lon", "n", "cell"),
             cells.select("cell").join(dense_label, "cell", "left"),
             ["cell"],
             hot_cells,
@@ -382,21 +375,22 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5, min_rows: int =
             sparse_label.withColumnsRenamed({"p_lat": "lat", "p_lon": "lon"}), ["lat", "lon"], "left"
         )
         .select(
-            "latitude",
-            "longitude",
+            "lat",
+            "lon",
             "n",
             F.coalesce("cluster", "site_cluster", F.lit(-1)).cast("int").alias("cluster"),
         )
     )
-    hot_sites = hot_keys(labels, ["latitude", "longitude"], "n", row_total)
-    return salted_join(
-        rows, labels.select("latitude", "longitude", "cluster"), ["latitude", "longitude"], hot_sites
+    hot_sites = hot_keys(labels, ["lat", "lon"], "n", row_total)
+    placed = rows.select("*", *place)
+    return salted_join(placed, labels.select("lat", "lon", "cluster"), ["lat", "lon"], hot_sites).select(
+        *rows.columns, "cluster"
     )
 
 
 def approach_clusters(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
     """Clusters of approach-phase reports: likely airports."""
-    return dbscan(low_slow(df, min_points=0), eps_km, min_pts, min_rows=MIN_APPROACH_POINTS)
+    return dbscan(low_slow(df), eps_km, min_pts)
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:

@@ -117,9 +117,9 @@ def density_grid(
     df: DataFrame,
     cell_deg: float = 0.5,
     weight: str = "velocity",
-    threshold: float = HEAT_THRESHOLD,
 ) -> DataFrame:
-    """Weight per grid cell and its share of the heaviest cell; light cells are cut."""
+    """Weight per grid cell and its share of the heaviest cell. A heat map shows cells whose
+    share is HEAT_THRESHOLD or more."""
     rows = filter_valid_coords(df)
     cells = rows.groupBy(
         F.floor(F.col("latitude") / F.lit(cell_deg)).alias("cell_lat"),
@@ -127,7 +127,7 @@ def density_grid(
     ).agg(F.sum(weight).alias("weight"), row_count().alias("points"))
     # Both columns are asked for, so that the cells are computed once for both uses.
     peak = cells.agg(F.struct(F.max("weight").alias("weight"), F.max("points"))).scalar()["weight"]
-    return cells.withColumn("share", F.col("weight") / peak).filter(F.col("share") >= threshold)
+    return cells.withColumn("share", F.col("weight") / peak)
 
 
 def hex_counts(df: DataFrame, radius_m: float = 20000) -> DataFrame:

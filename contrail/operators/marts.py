@@ -41,9 +41,10 @@ def daily_country_counts(df: DataFrame) -> DataFrame:
 
 
 def daily_summary(df: DataFrame, days: int = 7) -> DataFrame:
-    """Newest days first. Rows are first reduced to (date, aircraft, country), so the
-    two distinct counts expand that and not the raw reports."""
-    per_aircraft = _timed(df).groupBy("partition_date", "icao24", "origin_country").agg(
+    """Newest days first; of a dated table no other dates are read. Rows are first reduced to
+    (date, aircraft, country), so the two distinct counts expand that and not the raw reports."""
+    recent = _timed(df).filter(F.col("partition_date").isin(newest_dates(_timed(df), days)))
+    per_aircraft = recent.groupBy("partition_date", "icao24", "origin_country").agg(
         row_count().alias("n"),
         F.sum("baro_altitude").alias("alt_sum"),
         F.count("baro_altitude").alias("alt_n"),
@@ -161,16 +162,19 @@ def top_n_with_others(df: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def country_totals_recent(df: DataFrame, rows: int = 30, top: int = 10) -> DataFrame:
-    """Newest `rows` (date, country) rows summed by country: rows, not days."""
-    recent = (
-        daily_country_counts(df)
-        .orderBy(F.desc("partition_date"), F.desc("flight_count"), "origin_country")
-        .limit(rows)
-    )
+def newest_dates(df: DataFrame, days: int) -> list:
+    """The last `days` dates that have reports: a short list, from the folders of a stored table."""
+    dates = df.select("partition_date").filter(F.col("partition_date").isNotNull()).distinct()
+    return [row[0] for row in dates.orderBy(F.desc("partition_date")).limit(days).collect()]
+
+
+def country_totals_recent(df: DataFrame, days: int = 30, top: int = 10) -> DataFrame:
+    """Reports of the newest `days` dates by country; of a dated table no other dates are read."""
+    recent = _timed(df).filter(F.col("partition_date").isin(newest_dates(_timed(df), days)))
     return (
-        recent.groupBy("origin_country")
-        .agg(F.sum("flight_count").alias("flight_count"))
+        recent.filter(F.col("origin_country").isNotNull())
+        .groupBy("origin_country")
+        .agg(row_count().alias("flight_count"))
         .orderBy(F.desc("flight_count"), "origin_country")
         .limit(top)
     )
@@ -204,9 +208,7 @@ def top_airline_counts(df: DataFrame, limit: int = 50) -> DataFrame:
 def airline_report(df: DataFrame, limit: int = 15) -> DataFrame:
     """First rows of `top_airlines`, averages to two places."""
     return (
-        top_airlines(df)
-        .orderBy(F.desc("flight_count"), "airline_code", "origin_country")
-        .limit(limit)
+        top_airlines(df, limit)
         .withColumns({name: half_away(F.col(name), 2) for name in ("avg_altitude", "avg_velocity")})
     )
 
@@ -252,18 +254,15 @@ def airspace_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def overview_kpis(df: DataFrame, as_of: str, minutes: int = 15) -> DataFrame:
-    """Headline figures of the live overview, one row."""
-    latest = tracks.latest_positions(df, as_of, minutes)
-    airlines = top_airlines(df).agg(F.count_distinct("airline_code"))
-    leader = (
-        daily_country_counts(df)
-        .orderBy(F.desc("partition_date"), F.desc("flight_count"), "origin_country")
-        .limit(1)
-        .select("origin_country")
-    )
-    return latest.agg(*_averages()).select(
-        live_aircraft_count(df, as_of, minutes).scalar().alias("live_aircraft"),
+def _overview(df: DataFrame, latest: DataFrame, first: list[Column], kept: list[str]) -> DataFrame:
+    """`first`, then the figures that both overviews share; one row."""
+    callsigns = df.filter(F.length("callsign") >= 3)
+    airlines = callsigns.agg(F.count_distinct(airline_prefix()))
+    newest = _timed(df).filter(F.col("partition_date").isin(newest_dates(_timed(df), 1)))
+    by_country = newest.groupBy("origin_country").agg(row_count().alias("n"))
+    leader = by_country.orderBy(F.desc("n"), "origin_country").limit(1).select("origin_country")
+    return latest.agg(*first, *_averages()).select(
+        *kept,
         airlines.scalar().alias("active_airlines"),
         "avg_velocity",
         "avg_altitude",
@@ -271,23 +270,16 @@ def overview_kpis(df: DataFrame, as_of: str, minutes: int = 15) -> DataFrame:
     )
 
 
+def overview_kpis(df: DataFrame, as_of: str, minutes: int = 15) -> DataFrame:
+    """Headline figures of the live overview, one row; airlines are those of all reports."""
+    live = live_aircraft_count(df, as_of, minutes).scalar().alias("live_aircraft")
+    return _overview(df, tracks.latest_positions(df, as_of, minutes), [], [live])
+
+
 def overview_kpis_on(df: DataFrame, date: str) -> DataFrame:
     """The same figures for one day: its aircraft instead of the live ones."""
-    latest = tracks.latest_positions_on(df, date)
-    airlines = top_airlines(df).agg(F.count_distinct("airline_code"))
-    leader = (
-        daily_country_counts(df)
-        .orderBy(F.desc("partition_date"), F.desc("flight_count"), "origin_country")
-        .limit(1)
-        .select("origin_country")
-    )
-    return latest.agg(row_count().alias("unique_aircraft"), *_averages()).select(
-        "unique_aircraft",
-        airlines.scalar().alias("active_airlines"),
-        "avg_velocity",
-        "avg_altitude",
-        leader.scalar().alias("top_country"),
-    )
+    aircraft = row_count().alias("unique_aircraft")
+    return _overview(df, tracks.latest_positions_on(df, date), [aircraft], ["unique_aircraft"])
 
 
 # --- histograms ------------------------------------------------------------

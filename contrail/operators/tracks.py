@@ -217,14 +217,12 @@ def segment_colours(df: DataFrame) -> DataFrame:
     )
 
 
-def path_arrays(df: DataFrame, by_day: bool = True) -> DataFrame:
-    """Ordered [longitude, latitude] lists.
+def path_arrays(df: DataFrame) -> DataFrame:
+    """Ordered [longitude, latitude] lists, one per aircraft and day.
 
-    By default one list per aircraft and day, which bounds a list at 86,400 points; the
-    lists of an aircraft in date order are its path. `by_day=False` gives one list per
-    aircraft and is for a frame that is already limited, such as `clean.filter_view`.
+    A day bounds a list at 86,400 points; the lists of an aircraft in date order are its path.
     """
-    keys = ["icao24", "partition_date"] if by_day else ["icao24"]
+    keys = ["icao24", "partition_date"]
     point = F.struct("time_position", "longitude", "latitude")
     ordered = F.sort_array(F.collect_list(point))
     return (
@@ -269,9 +267,10 @@ def path_endpoints(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, measure: str) -> DataFrame:
-    """A measure over time per aircraft, unknown values dropped."""
+    """A measure over time per aircraft, unknown values dropped; in no order, which a page
+    gives the aircraft that it shows."""
     known = df.filter(F.col("event_time").isNotNull() & F.col(measure).isNotNull())
-    return known.select("icao24", "event_time", measure).orderBy("event_time", "icao24")
+    return known.select("icao24", "event_time", measure)
 
 
 def altitude_velocity_pairs(df: DataFrame) -> DataFrame:

@@ -216,26 +216,22 @@ def _(p: Inputs):
     return clean.filter_since(p.silver, p.as_of, p.minutes).select("event_id", "icao24", "event_time")
 
 
-def _view_sql(country: str | None, floor: float, points: int) -> str:
-    chosen = f"origin_country = '{country}' and " if country else ""
-    return BASE + f"""
-      select event_id, icao24, origin_country, longitude, latitude, baro_altitude from (
-        select * from kept where latitude is not null and longitude is not null and baro_altitude > 0
-        order by time_position, icao24 limit 50000)
-      where {chosen} baro_altitude >= {floor} order by time_position, icao24 limit {points}"""
+VIEW_SQL = BASE + """
+  select event_id, icao24, origin_country, longitude, latitude, baro_altitude from kept
+  where latitude is not null and longitude is not null and baro_altitude > 0"""
 
 
 VIEW = ["event_id", "icao24", "origin_country", "longitude", "latitude", "baro_altitude"]
 
 
-@query("filter_view", _view_sql(None, 0, 10000))
+@query("filter_view", VIEW_SQL)
 def _(p: Inputs):
     return clean.filter_view(p.silver).select(*VIEW)
 
 
-@query("filter_view_country", _view_sql("NATION_3", 5000, 1000))
+@query("filter_view_country", VIEW_SQL + " and baro_altitude >= 5000 and origin_country = 'NATION_3'")
 def _(p: Inputs):
-    return clean.filter_view(p.silver, "NATION_3", 5000, 1000).select(*VIEW)
+    return clean.filter_view(p.silver, "NATION_3", 5000).select(*VIEW)
 
 
 @query("search_callsign", BASE + "select event_id, icao24, callsign from kept where contains(callsign, upper('aic1'))")

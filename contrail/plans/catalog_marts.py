@@ -163,8 +163,8 @@ def _(p: Inputs):
 
 
 def _overview(first: str) -> str:
-    return BASE + DAILY + AIRLINES + f"""
-      select {first}, (select count(distinct airline_code) from airlines) as active_airlines,
+    return BASE + DAILY + f"""
+      select {first}, (select count(distinct left(callsign, 3)) from kept where length(callsign) >= 3) as active_airlines,
         avg(velocity) as avg_velocity, avg(baro_altitude) as avg_altitude,
         (select origin_country from daily order by partition_date desc, flight_count desc, origin_country limit 1)
           as top_country"""
@@ -185,8 +185,8 @@ def _(p: Inputs):
 
 
 @query("country_totals_recent", BASE + DAILY + """
-  select origin_country, cast(sum(flight_count) as bigint) as flight_count from (
-    select * from daily order by partition_date desc, flight_count desc, origin_country limit 30)
+  select origin_country, cast(sum(flight_count) as bigint) as flight_count from daily
+  where partition_date in (select distinct partition_date from daily order by 1 desc limit 30)
   group by 1 order by 2 desc, 1 limit 10""")
 def _(p: Inputs):
     return marts.country_totals_recent(p.silver)
@@ -257,8 +257,7 @@ def _(p: Inputs):
   select icao24, count(*) as points, arg_min(callsign, time_position) filter (callsign is not null) as callsign,
     coalesce(arg_min(callsign, time_position) filter (callsign is not null), 'Unknown')
       || ' (' || icao24 || ') - ' || count(*) || ' pts' as label
-  from (select * from kept where latitude is not null and longitude is not null and baro_altitude > 0
-        order by time_position, icao24 limit 10000)
+  from kept where latitude is not null and longitude is not null and baro_altitude > 0
   group by icao24 having count(*) >= 2""")
 def _(p: Inputs):
     return marts.points_per_aircraft(clean.filter_view(p.silver))

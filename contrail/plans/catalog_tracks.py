@@ -158,11 +158,10 @@ def _(p: Inputs):
 
 
 @query("path_arrays_view", BASE + f"""
-  select icao24, {PATH_SQL} as path from (
-    select * from kept where {PLACED} and baro_altitude > 0 order by time_position, icao24 limit 10000)
-  group by icao24""")
+  select icao24, {day()}, {PATH_SQL} as path from kept where {PLACED} and baro_altitude > 0
+  group by icao24, kept.partition_date""")
 def _(p: Inputs):
-    paths = tracks.path_arrays(clean.filter_view(p.silver), by_day=False)
+    paths = tracks.path_arrays(clean.filter_view(p.silver))
     return paths.withColumn("path", _path_text(F.col("path")))
 
 
@@ -289,8 +288,7 @@ def _(p: Inputs):
 @query("density_grid", BASE + f"""
   , cells as (select cast(floor(latitude / 0.5e0) as bigint) as cell_lat, cast(floor(longitude / 0.5e0) as bigint) as cell_lon,
       sum(velocity) as weight, count(*) as points from kept where {PLACED} group by 1, 2)
-  select *, weight / (select max(weight) from cells) as share from cells
-  where weight / (select max(weight) from cells) >= 0.1e0""")
+  select *, weight / (select max(weight) from cells) as share from cells""")
 def _(p: Inputs):
     return geo.density_grid(p.silver)
 

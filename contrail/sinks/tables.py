@@ -17,7 +17,7 @@ class EmptyInput(ValueError):
     """A write that needs rows got none."""
 
 
-def _balanced(df: DataFrame, *columns: str) -> DataFrame:
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Group rows by partition column; AQE splits large groups and merges small ones."""
     return df.hint("rebalance", *[F.col(name) for name in columns])
 
@@ -28,18 +28,27 @@ def silver_key(base: str, when: datetime) -> str:
 
 
 def write_hourly(df: DataFrame, path: str, time: str = "event_time") -> None:
-    """Append below year, month, day and hour folders."""
-    if df.isEmpty():
-        raise EmptyInput("nothing to write")
-    parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    dated = df.withColumns({name: F.date_format(time, pattern) for name, pattern in parts.items()})
-    _balanced(dated, *parts).write.mode("append").partitionBy(*parts).parquet(path)
+    """Write below year, month, day and hour folders; the hours that `df` has are replaced.
+
+    So the same batch can be written again. It is computed once, for the check and the write.
+    """
+    df = df.persist()
+    try:
+        if df.isEmpty():
+            raise EmptyInput("nothing to write")
+        parts = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
+        dated = df.withColumns({name: F.date_format(time, pattern) for name, pattern in parts.items()})
+        balanced(dated, *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *parts
+        ).parquet(path)
+    finally:
+        df.unpersist()
 
 
 def write_silver(df: DataFrame, path: str, whole: bool = False, fmt: str = "parquet") -> None:
     """Overwrite the dates present in `df`, or the `whole` table."""
     (
-        _balanced(df, "partition_date")
+        balanced(df, "partition_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("partition_date")
@@ -52,7 +61,7 @@ def refresh_table(df: DataFrame, path: str, schema: T.StructType = S.SILVER, fmt
     """Replace a table with `df` under a fixed schema, rows of a country kept together."""
     shaped = clean.conform(df, schema)
     (
-        _balanced(shaped, "partition_date")
+        balanced(shaped, "partition_date")
         .sortWithinPartitions("partition_date", "origin_country")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -65,20 +74,57 @@ def refresh_table(df: DataFrame, path: str, schema: T.StructType = S.SILVER, fmt
 # --- incremental upsert ----------------------------------------------------
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
+    """The folder's file system and path; the one place that needs the driver's JVM."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _folder(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _folder(spark, path)
+    files.delete(target, True)
+
+
+def _staged(path: str) -> str:
+    return path.rstrip("/") + ".staged"
+
+
+def _stage(rows: DataFrame, path: str, partition: str) -> None:
+    balanced(rows, partition).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        partition
+    ).parquet(_staged(path))
+
+
+def _move_in(spark: SparkSession, path: str) -> None:
+    write_silver(spark.read.parquet(_staged(path)), path)
+    remove(spark, _staged(path))
+
+
+def rewrite(spark: SparkSession, rows: DataFrame, path: str, partition: str = "partition_date") -> None:
+    """Replace the partitions that `rows` has by `rows`, which may be read from the same table.
+
+    They are first written beside the table and then moved in; after a failure between the two the
+    next call first finishes the move.
+    """
+    if exists(spark, f"{_staged(path)}/_SUCCESS"):
+        _move_in(spark, path)
+    _stage(rows, path, partition)
+    _move_in(spark, path)
 
 
 def newer_than(source: DataFrame, target: DataFrame, watermark: str) -> DataFrame:
-    """Source rows past the target's highest watermark; all of them if it has none."""
+    """Source rows at the target's highest watermark or past it; all of them if it has none.
+
+    Rows of one batch share a watermark, so those at it may be new; the merge on the key makes
+    it harmless to take the others again.
+    """
     high = target.agg(F.max(watermark)).scalar()
-    return source.filter(high.isNull() | (F.col(watermark) > high))
+    return source.filter(high.isNull() | (F.col(watermark) >= high))
 
 
 def last_per_key(
@@ -103,48 +149,64 @@ def upsert_incremental(
 ) -> int:
     """Merge new source rows into a partitioned Parquet table; returns the rows taken.
 
-    Only partitions that receive rows are rewritten, so `partition` must follow from `key`.
+    Rows at the last load's watermark are taken again. It is kept in a table of one row beside the
+    target; without that the target's own column is read. Only partitions that receive rows are
+    rewritten, so `partition` must follow from `key`; their values are listed on the driver, so
+    there must be few of them, as there are of dates.
     The merged partitions are first written beside the table and then moved in; after a
     failure between the two the next call first finishes the move.
     """
     spark = source.sparkSession
-    staged = path.rstrip("/") + ".staged"
-
-    def move_in() -> None:
-        write_silver(spark.read.parquet(staged), path)
-        _remove(spark, staged)
+    if exists(spark, f"{_staged(path)}/_SUCCESS"):
+        _move_in(spark, path)
 
-    if _exists(spark, f"{staged}/_SUCCESS"):
-        move_in()
-    def stage(rows: DataFrame) -> None:
-        _balanced(rows, partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(partition).parquet(staged)
-
-    if not _exists(spark, path):
+    if not exists(spark, path):
         if source.isEmpty():
             return 0
         watched, watch = observed(source, f"first load of {path}")
-        stage(last_per_key(watched, key, watermark))
-        move_in()
+        _stage(last_per_key(watched, key, watermark), path, partition)
+        _move_in(spark, path)
+        _write_watermark(spark, path, watermark)
         return watch.get["rows"]
 
     target = spark.read.schema(source.schema).parquet(path)
-    # Only what is new since the last load; read for its dates and for the merge.
-    changes = newer_than(source, target, watermark).persist()
+    # Only what may be new since the last load; read for its dates and for the merge.
+    held = _watermark_path(path)
+    high = spark.read.parquet(held) if exists(spark, held) else target
+    changes = newer_than(source, high, watermark).persist()
     try:
         # One row per day that received rows.
         per_day = dict(changes.groupBy(partition).count().collect())
         if per_day:
             touched = target.filter(F.col(partition).isin(list(per_day)))
-            stage(merge_rows(last_per_key(changes, key, watermark), touched, key))
+            _stage(merge_rows(last_per_key(changes, key, watermark), touched, key), path, partition)
     finally:
         changes.unpersist()
     if per_day:
-        move_in()
+        _move_in(spark, path)
+        _write_watermark(spark, path, watermark, list(per_day), partition)
     return sum(per_day.values())
 
 
+def _watermark_path(path: str) -> str:
+    return path.rstrip("/") + ".watermark"
+
+
+def _write_watermark(
+    spark: SparkSession, path: str, watermark: str, touched: list | None = None, partition: str = "partition_date"
+) -> None:
+    """Keep the highest watermark, of the partitions just written and the one kept before."""
+    rows = spark.read.parquet(path)
+    if touched is not None:
+        rows = rows.filter(F.col(partition).isin(touched))
+    held = _watermark_path(path)
+    highest = rows.agg(F.max(watermark).alias(watermark))
+    if exists(spark, held):
+        highest = highest.union(spark.read.parquet(held)).agg(F.max(watermark).alias(watermark))
+    value = highest.first()[0]
+    spark.createDataFrame([(value,)], highest.schema).write.mode("overwrite").parquet(held)
+
+
 def merge_into_table(source: DataFrame, table: str, key: str = "position_id") -> None:
     """The same merge for a table format that supports it."""
     (
@@ -162,13 +224,14 @@ def replay(
     read_bronze: Callable[[], DataFrame],
     path: str,
     dates: list[str],
-    as_of: str,
+    as_of: str | Column,
     tie_break: list[str] | None = None,
 ) -> None:
     """Rebuild the silver partitions of `dates` from the raw history.
 
-    `read_bronze` returns raw reports with `processed_at`. The date filter becomes a range
-    on `time_position` before any shuffle; other partitions stay as they are.
+    `read_bronze` returns raw reports with `processed_at`; `files.read_landed` reads only the arrival
+    dates that may hold them. The dates become a range on `time_position` before any shuffle; other
+    partitions stay as they are. The table may be one that a stream adds to.
     """
     raw = read_bronze()
     wanted = [F.lit(day).cast("date") for day in dates]

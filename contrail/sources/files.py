@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.operators import clean
 from contrail.schema import MESSAGE
 
 # Fixed value: date path of a raw file.
@@ -42,17 +43,21 @@ def read_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, errors per file): a bad file or line does not stop the rest.
 
-    `documents` reads a file as one object or array, otherwise each line is a message.
+    `documents` reads a file as one object or array, otherwise each line is a message. A file that
+    isn't empty and of which nothing can be read counts as one error.
     """
-    text = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .option("wholetext", str(documents).lower())
+    found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    file = F.col("_metadata.file_path").alias("file")
+    lines = (
+        found.option("wholetext", str(documents).lower())
         .option("ignoreCorruptFiles", "true")
         .text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"))
-        .filter(F.trim("value") != "")
+        .select("value", file)
     )
+    text = lines.filter(F.trim("value") != "")
+    # The listing alone: no content is read.
+    listed = found.format("binaryFile").load(path).filter("length > 0").select(file)
+    silent = listed.join(lines.select("file").distinct(), "file", "left_anti")
     if documents:
         parsed = text.withColumn("rows", F.from_json("value", T.ArrayType(schema)))
         good = parsed.select("file", F.inline("rows")).drop("file")
@@ -65,7 +70,25 @@ def read_tolerant(
         broken = F.col("row").isNull() | F.col(f"row.{corrupt}").isNotNull()
         good = parsed.filter(~broken).select("row.*").drop(corrupt)
         bad = parsed.filter(broken)
-    return good, bad.groupBy("file").agg(F.count(F.lit(1)).alias("errors"))
+    errors = bad.select("file").union(silent).groupBy("file").agg(F.count(F.lit(1)).alias("errors"))
+    return good, errors
+
+
+def read_landed(
+    spark: SparkSession, path: str, first: str | None = None, last: str | None = None, schema: T.StructType = MESSAGE
+) -> tuple[DataFrame, DataFrame]:
+    """(reports, dead letters) of messages that `streaming.bronze.land` wrote.
+
+    `first` and `last` are arrival dates; no other folders are read. A replay of some days wants
+    a margin for late arrival. A report's `processed_at` is the time when it was landed.
+    """
+    landed = spark.read.schema("value string, origin string, position long, landed_at timestamp, ingest_date date")
+    rows = landed.json(path)
+    if first:
+        rows = rows.filter(F.col("ingest_date") >= F.lit(first).cast("date"))
+    if last:
+        rows = rows.filter(F.col("ingest_date") <= F.lit(last).cast("date"))
+    return clean.route_dead_letters(rows, F.col("landed_at"), schema=schema)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

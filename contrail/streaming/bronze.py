@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from contrail.sources.streams import read_stream
+from contrail.sources.streams import read_messages
 
-# Rows and time between flushes of the landing job.
-FLUSH_ROWS = 1000
+# Fixed value: time between flushes of the landing job.
 FLUSH_INTERVAL = "300 seconds"
 
 
@@ -22,10 +21,9 @@ def write_bronze_stream(
 ) -> StreamingQuery:
     """Append messages as files below their arrival date.
 
-    A flush comes every `interval`, or, with None, as soon as the source has handed out its
-    rows and then stops. The row limit of a flush belongs to the source: `max_per_trigger`
-    of `sources.streams.read_stream`. Offsets and files are committed together, so a failed
-    flush is repeated and not lost.
+    A flush comes every `interval` with all that has arrived by then, or, with None, as soon as
+    the source has handed out its rows and then stops. Offsets and files are committed together,
+    so a failed flush is repeated and not lost.
     """
     landed = df.withColumn("ingest_date", F.to_date(F.current_timestamp()))
     writer = (
@@ -44,11 +42,22 @@ def land_topic(
     topic: str,
     path: str,
     checkpoint: str,
-    max_rows: int = FLUSH_ROWS,
     interval: str | None = FLUSH_INTERVAL,
+    max_rows: int | None = None,
 ) -> StreamingQuery:
-    """Land a topic: a flush takes at most `max_rows` messages. Needs the Kafka connector."""
-    stream = read_stream(
-        spark, "kafka", topic, max_per_trigger=max_rows, options={"kafka.bootstrap.servers": servers}
-    )
-    return write_bronze_stream(stream, path, checkpoint, interval)
+    """Land a topic's messages as they were received. Needs the Kafka connector.
+
+    A flush takes all that has arrived, so a backlog clears; `max_rows` caps a flush, and
+    with it the pace, and is for a source that must be spared.
+    """
+    options = {"kafka.bootstrap.servers": servers}
+    return land(read_messages(spark, "kafka", topic, max_rows, options), path, checkpoint, interval)
+
+
+def land(messages: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL) -> StreamingQuery:
+    """Land messages of `read_messages`: their text, where they came from, and when.
+
+    Nothing is parsed, so unreadable messages and unknown fields are kept for a later replay;
+    `sources.files.read_landed` parses them.
+    """
+    return write_bronze_stream(messages, path, checkpoint, interval)

@@ -24,7 +24,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SILENCE_SECONDS = 45
 
 # Order of a report's fields in the state.
-REPORT = ["time_position", "latitude", "longitude", "baro_altitude", "velocity", "callsign", "squawk"]
+REPORT = [
+    "time_position", "latitude", "longitude", "baro_altitude", "velocity", "true_track", "callsign",
+    "origin_country", "squawk",
+]
 
 _POINTS = T.ArrayType(
     T.StructType(
@@ -43,7 +46,9 @@ _STATE = T.StructType(
         T.StructField("longitude", T.ArrayType(T.DoubleType())),
         T.StructField("baro_altitude", T.ArrayType(T.DoubleType())),
         T.StructField("velocity", T.ArrayType(T.DoubleType())),
+        T.StructField("true_track", T.ArrayType(T.DoubleType())),
         T.StructField("callsign", T.ArrayType(T.StringType())),
+        T.StructField("origin_country", T.ArrayType(T.StringType())),
         T.StructField("squawk", T.ArrayType(T.StringType())),
         T.StructField("expiry", T.LongType()),
     ]
@@ -59,6 +64,8 @@ LIVE = T.StructType(
         T.StructField("longitude", T.DoubleType()),
         T.StructField("baro_altitude", T.DoubleType()),
         T.StructField("velocity", T.DoubleType()),
+        T.StructField("true_track", T.DoubleType()),
+        T.StructField("origin_country", T.StringType()),
         T.StructField("squawk", T.StringType()),
         T.StructField("trend", T.StringType()),
         T.StructField("trail", _POINTS),
@@ -66,12 +73,25 @@ LIVE = T.StructType(
 )
 
 
+def _rank(row: tuple) -> tuple:
+    """A total order of reports; unknown values come first."""
+    return tuple((value is not None, value) for value in row)
+
+
 def newest(held: dict[int, tuple], chunk: pd.DataFrame, n: int) -> dict[int, tuple]:
-    """The last `n` distinct seconds of `held` and `chunk`, oldest first."""
-    _, last = np.unique(chunk["time_position"].to_numpy(), return_index=True)
-    rows = chunk.iloc[last[-n:]]
-    columns = [[None if value != value else value for value in rows[name].tolist()] for name in REPORT]
-    merged = {row[0]: row for row in zip(*columns)} | held
+    """The last `n` distinct seconds of `held` and `chunk`, oldest first.
+
+    Of several reports of a second the highest by `_rank` counts, so arrival makes no difference.
+    """
+    seconds = chunk["time_position"].to_numpy()
+    if len(seconds) > n:
+        chunk = chunk[seconds >= np.unique(seconds)[-n:][0]].drop_duplicates()
+    columns = [[None if value != value else value for value in chunk[name].tolist()] for name in REPORT]
+    merged = dict(held)
+    for row in zip(*columns):
+        other = merged.get(row[0])
+        if other is None or (row != other and _rank(row) > _rank(other)):
+            merged[row[0]] = row
     return {second: merged[second] for second in sorted(merged)[-n:]}
 
 
@@ -124,7 +144,8 @@ class LiveTracker(StatefulProcessor):
         current = unbroken(list(held.values()), self.silence)
         expiry = (current[-1][0] + self.silence) * 1000
         expiry = max(expiry, timerValues.getCurrentWatermarkInMs() + 1)
-        self.state.update((*[list(column) for column in zip(*current)], expiry))
+        # What came before a silence is held too: a late report may yet fill it.
+        self.state.update((*[list(column) for column in zip(*held.values())], expiry))
         self.handle.registerTimer(expiry)
         yield self._row(key, "live", current)
 
@@ -132,7 +153,7 @@ class LiveTracker(StatefulProcessor):
         stored = self.state.get()
         if stored:
             self.state.clear()
-            yield self._row(key, "expired", list(zip(*stored[: len(REPORT)])))
+            yield self._row(key, "expired", unbroken(list(zip(*stored[: len(REPORT)])), self.silence))
 
     def close(self) -> None:
         pass
@@ -147,7 +168,8 @@ def track_live(
     """Current state of each aircraft whenever it reports, and a last row when it falls silent.
 
     Time is event time: `silence` seconds without a report end a track, and a report after
-    that starts a new one. Needs the RocksDB state store.
+    that starts a new one. A late report takes its place in the trail. Needs the RocksDB state
+    store.
     """
     timed = stream if "event_time" in stream.columns else clean.to_event_time(stream)
     placed = clean.filter_valid_coords(timed).withWatermark("event_time", lateness)

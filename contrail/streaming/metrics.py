@@ -1,4 +1,7 @@
-"""Quality figures of a feed, for a batch or a stream."""
+"""Quality figures of a feed, for a batch or a stream.
+
+`as_of` is a time for a batch; for a stream it is a column, such as `processed_at`.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +19,7 @@ def _lag() -> Column:
     return F.unix_timestamp("processed_at") - F.col("time_position")
 
 
-def _figures(as_of: str) -> list[Column]:
+def _figures(as_of: str | Column) -> list[Column]:
     bad = clean.failures(as_of)
     passed = ~F.greatest(*bad.values())
     return [
@@ -33,24 +36,24 @@ def lag_band(lag: Column) -> Column:
     )
 
 
-def quality_metrics(raw: DataFrame, as_of: str) -> DataFrame:
+def quality_metrics(raw: DataFrame, as_of: str | Column) -> DataFrame:
     """One row: reports fetched, sent on, errors per rule, highest lag and its band."""
     return clean.normalise(raw).agg(*_figures(as_of)).withColumn("lag_band", lag_band(F.col("lag_seconds")))
 
 
-def observe_quality(raw: DataFrame, as_of: str, name: str = "quality") -> tuple[DataFrame, str]:
+def observe_quality(raw: DataFrame, as_of: str | Column, name: str = "quality") -> tuple[DataFrame, str]:
     """The frame with the same figures attached; a streaming query reports them with every
     batch in `query.lastProgress.observedMetrics[name]`."""
     watched = clean.normalise(raw).observe(name, *_figures(as_of))
     return watched, name
 
 
-def observe_batch(raw: DataFrame, as_of: str, name: str = "quality") -> tuple[DataFrame, Observation]:
+def observe_batch(raw: DataFrame, as_of: str | Column, name: str = "quality") -> tuple[DataFrame, Observation]:
     watch = Observation(name)
     return clean.normalise(raw).observe(watch, *_figures(as_of)), watch
 
 
-def reject_rate(raw: DataFrame, as_of: str, minutes: int = 5, lateness: str | None = None) -> DataFrame:
+def reject_rate(raw: DataFrame, as_of: str | Column, minutes: int = 5, lateness: str | None = None) -> DataFrame:
     """Rejects per second and reason over tumbling windows of event time.
 
     Give `lateness` for a stream, so that finished windows can be written out.

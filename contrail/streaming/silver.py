@@ -2,58 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from contrail.operators import clean
-from contrail.sinks.tables import _exists
+from contrail.sinks import tables
 
 KEY = ["icao24", "time_position"]
 
 
-def add_batch(batch: DataFrame, batch_id: int, path: str, as_of: str, tie_break: list[str] | None) -> None:
-    """Add the batch's new reports as their own partitions.
+def add_batch(
+    batch: DataFrame,
+    path: str,
+    as_of: str | Column,
+    tie_break: list[str] | None = None,
+    rejects: str | None = None,
+) -> None:
+    """Add the batch's new reports to their dates, and its rejected ones to the table `rejects`.
 
-    Repeats are dropped within the batch and against the table, of which only the key
-    columns of the dates concerned are read. A batch that is run again replaces what it
-    wrote before.
+    Repeats are dropped within the batch and against the table, of which only the key columns of
+    the dates concerned are read. So a batch that runs again, for another checkpoint or another
+    query too, adds only what is not there yet. Rejected reports are added again.
     """
     spark = batch.sparkSession
-    # Read twice: for the dates and for the rows.
-    cleaned = rows = clean.to_silver(batch, as_of, tie_break).persist()
-    if _exists(spark, path):
-        # A list of dates: one per day the batch touches.
-        days = [row[0] for row in rows.select("partition_date").distinct().collect()]
-        table = spark.read.parquet(path)
-        known = table.filter(F.col("partition_date").isin(days) & (F.col("batch_id") != batch_id))
-        rows = rows.join(known.select(*KEY), KEY, "left_anti")
-    (
-        rows.withColumn("batch_id", F.lit(batch_id))
-        .hint("rebalance", F.col("partition_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("partition_date", "batch_id")
-        .parquet(path)
-    )
-    cleaned.unpersist()
+    batch.persist()  # read for the dates, for the rows and for the rejects
+    try:
+        rows = clean.to_silver(batch, as_of, tie_break)
+        if tables.exists(spark, path):
+            # A list of dates: one per day the batch touches.
+            days = [row[0] for row in rows.select("partition_date").distinct().collect()]
+            known = spark.read.parquet(path).filter(F.col("partition_date").isin(days))
+            rows = rows.join(known.select(*KEY), KEY, "left_anti")
+        tables.balanced(rows, "partition_date").write.mode("append").partitionBy("partition_date").parquet(path)
+        if rejects:
+            bad = clean.validate(clean.normalise(batch), as_of)[1]
+            bad.withColumn("partition_date", F.to_date("processed_at")).write.mode("append").partitionBy(
+                "partition_date"
+            ).parquet(rejects)
+    finally:
+        batch.unpersist()
 
 
 def silver_stream(
     raw: DataFrame,
     path: str,
     checkpoint: str,
-    as_of: str,
+    as_of: str | Column | None = None,
     interval: str | None = None,
     tie_break: list[str] | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Keep the silver table up to date; with no `interval`, take what is there and stop."""
+    """Keep the silver table up to date; with no `interval`, take what is there and stop.
+
+    Reports are judged at the time when each came in, `processed_at`, unless `as_of` fixes one.
+    """
+    clock = F.col("processed_at") if as_of is None else as_of
     writer = raw.writeStream.foreachBatch(
-        lambda batch, batch_id: add_batch(batch, batch_id, path, as_of, tie_break)
+        lambda batch, _: add_batch(batch, path, clock, tie_break, rejects)
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def read_silver(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+def compact(spark: SparkSession, path: str, dates: list[str]) -> None:
+    """Write the files of `dates` anew, few and large: a stream adds some with every batch."""
+    wanted = [F.lit(day).cast("date") for day in dates]
+    tables.rewrite(spark, spark.read.parquet(path).filter(F.col("partition_date").isin(*wanted)), path)
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

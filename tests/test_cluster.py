@@ -129,13 +129,18 @@ def test_components(spark):
     assert got == expected
 
 
-def test_low_slow_needs_ten_points(spark):
-    rows = spark.range(10).select(F.lit(100.0).alias("baro_altitude"), F.lit(50.0).alias("velocity"))
-    assert cluster.low_slow(rows).count() == 10
-    assert cluster.low_slow(rows.limit(9)).count() == 0
-
-
-def test_approach_clusters_need_ten_points(spark):
+def test_date_line_is_one_place_however_written(spark):
+    lat, lon = [10.0, 10.0, 10.05], [180.0, -180.0, -179.95]
+    assert (run(spark, lat, lon, 15, 5) == -1).all()
+    assert (run(spark, lat * 2, lon * 2, 15, 5) == 0).all()
+    # Sites of several reports on either side, and apart.
+    check(spark, [10.0, 10.0, 10.05, 10.05, 10.1, -10.0, 0.0, -0.0], [180.0, -180.0, 180.0, -179.99, 179.99, 180.0, 0.0, -0.0])
+    rng = np.random.default_rng(11)
+    at = rng.integers(0, 4, 120)
+    check(spark, 10 + rng.integers(0, 40, 120) / 50, np.array([180.0, -180.0, 179.9, -179.95])[at])
+
+
+def test_few_approach_reports_are_kept(spark):
     rows = spark.range(10).select(
         F.col("id").alias("time_position"),
         F.lit("801642").alias("icao24"),
@@ -145,4 +150,4 @@ def test_approach_clusters_need_ten_points(spark):
         F.lit(77.1).alias("longitude"),
     )
     assert [r["cluster"] for r in cluster.approach_clusters(rows).collect()] == [0] * 10
-    assert cluster.approach_clusters(rows.limit(9)).count() == 0
+    assert [r["cluster"] for r in cluster.approach_clusters(rows.limit(3)).collect()] == [-1] * 3

@@ -85,7 +85,7 @@ def test_silver_restart_and_repeats(spark, tmp_path):
     put(src, "1.json", [message(0), message(0), message(5, latitude=None)])
 
     def advance():
-        silver.silver_stream(stamped(spark, src), path, str(tmp_path / "offsets"), AS_OF).awaitTermination()
+        silver.silver_stream(reader(spark, src), path, str(tmp_path / "offsets"), AS_OF).awaitTermination()
         return sorted(r["time_position"] - START for r in silver.read_silver(spark, path).collect())
 
     assert advance() == [0]
@@ -98,10 +98,47 @@ def test_silver_batch_run_twice(spark, tmp_path):
     path = str(tmp_path / "silver")
     batch = clean.with_processed_at(spark.createDataFrame([message(0), message(1)], S.MESSAGE), AS_OF)
     for _ in range(2):
-        silver.add_batch(batch, 0, path, AS_OF, None)
-    assert silver.read_silver(spark, path).count() == 2
-    silver.add_batch(batch, 1, path, AS_OF, None)
+        silver.add_batch(batch, path, AS_OF)
     assert silver.read_silver(spark, path).count() == 2
+    silver.add_batch(batch.withColumn("time_position", F.col("time_position") + 1), path, AS_OF)
+    assert silver.read_silver(spark, path).count() == 3
+    silver.compact(spark, path, ["2024-01-01"])
+    assert silver.read_silver(spark, path).count() == 3
+
+
+def test_silver_goes_on_for_hours_and_with_a_new_checkpoint(spark, tmp_path):
+    """Reports run hours past the start; two checkpoints lose nothing; rejects are kept."""
+    src, path, bad = tmp_path / "src", str(tmp_path / "silver"), str(tmp_path / "bad")
+    hours = [START + 3600 * h for h in range(6)]
+    for h, second in enumerate(hours):
+        rows = [message(0, time_position=second + i) for i in range(3)] + [message(0, time_position=second + 99_999)]
+        frame = spark.createDataFrame(rows, S.MESSAGE).withColumn("processed_at", F.timestamp_seconds(F.lit(second)))
+        frame.coalesce(1).write.parquet(str(src / str(h)))
+        stream = spark.readStream.schema(frame.schema).option("recursiveFileLookup", "true").parquet(str(src))
+        silver.silver_stream(stream, path, str(tmp_path / f"offsets{h % 2}"), rejects=bad).awaitTermination()
+    assert silver.read_silver(spark, path).count() == 18
+    rejected = spark.read.parquet(bad)
+    assert rejected.select("time_position").distinct().count() == 6
+    assert {tuple(r.reasons) for r in rejected.collect()} == {("time_future",)}
+
+
+def test_landing_takes_a_backlog_at_once(spark, tmp_path):
+    src, path = tmp_path / "src", str(tmp_path / "landed")
+    for i in range(5):
+        put(src, f"{i}.json", [message(1000 * i + k) for k in range(1000)])
+    with open(src / "4.json", "a") as f:
+        f.write('{broken\n{"icao24": "801642", "unknown": 1}\n')
+    query = bronze.land(streams.read_messages(spark, "text", str(src)), path, str(tmp_path / "offsets"), "1 second")
+    try:
+        query.processAllAvailable()
+        batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert batches == [5002]
+    reports, dead = files.read_landed(spark, path)
+    assert reports.count() == 5001 and [r.original_message for r in dead.collect()] == ["{broken"]
+    assert spark.read.json(path).filter("value like '%unknown%'").count() == 1
+    assert files.read_landed(spark, path, last="2000-01-01")[0].count() == 0
 
 
 def test_dead_letters(spark, tmp_path):
@@ -163,7 +200,7 @@ def test_trend_and_trail(spark, tmp_path):
     ((1000.0, 1010.0), "="), ((1000.0, 1011.0), "up"), ((1000.0, 989.0), "down"), ((None, 500.0), "="), ((500.0, None), "="),
 ])
 def test_trend(altitudes, expected):
-    rows = [(i, 0.0, 0.0, altitude, None, None, None) for i, altitude in enumerate(altitudes)]
+    rows = [(i, 0.0, 0.0, altitude, None, None, None, None, None) for i, altitude in enumerate(altitudes)]
     assert live.trend(rows) == expected
 
 
@@ -186,6 +223,23 @@ def test_busy_aircraft_is_cut_as_it_comes():
     assert list(live.newest(held, chunk[:100], 11)) == list(held)
 
 
+def test_reports_of_one_second_in_any_order():
+    import itertools
+
+    import pandas as pd
+
+    base = dict.fromkeys(live.REPORT) | {"time_position": 5, "latitude": 1.0, "longitude": 1.0}
+    rows = [base, base | {"velocity": 3.0}, base | {"velocity": 2.0, "callsign": "B"}, base | {"velocity": 3.0, "callsign": "A"}]
+    kept = set()
+    for order in itertools.permutations(rows):
+        one = live.newest({}, pd.DataFrame(list(order)), 11)
+        held = {}
+        for row in order:
+            held = live.newest(held, pd.DataFrame([row]), 11)
+        kept |= {tuple(one[5]), tuple(held[5])}
+    assert len(kept) == 1
+
+
 def test_silence_ends_a_track(spark, tmp_path):
     rows = track(
         spark, tmp_path,

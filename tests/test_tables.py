@@ -39,10 +39,18 @@ def test_upsert(spark, tmp_path):
     )
     assert tables.upsert_incremental(second, path) == 3
     assert content(spark, path) == {"a": 1.0, "b": 4.0, "c": 5.0}
-    assert tables.upsert_incremental(second, path) == 0
+    assert tables.upsert_incremental(second, path) == 1  # the row at the watermark, to no effect
     assert content(spark, path) == {"a": 1.0, "b": 4.0, "c": 5.0}
 
 
+def test_upsert_of_equal_stamps(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    batch = [(f"k{i}", "2024-01-01 10:00", f"2024-01-0{1 + i % 3}", i) for i in range(9)]
+    tables.upsert_incremental(facts(spark, *batch[:4]), path)
+    tables.upsert_incremental(facts(spark, *batch), path)
+    assert content(spark, path) == {key: float(speed) for key, _, _, speed in batch}
+
+
 def test_upsert_of_nothing(spark, tmp_path):
     path = str(tmp_path / "facts")
     row = facts(spark, ("a", "2024-01-01 10:00", "2024-01-01", 1))
@@ -94,6 +102,8 @@ def test_hourly(spark, tmp_path):
     tables.write_hourly(df, str(path))
     assert (path / "year=2024/month=01/day=01/hour=00").is_dir()
     assert (path / "year=2024/month=01/day=01/hour=13").is_dir()
+    tables.write_hourly(df, str(path))
+    assert spark.read.parquet(str(path)).count() == 2
     with pytest.raises(tables.EmptyInput):
         tables.write_hourly(df.limit(0), str(path))
     assert tables.silver_key("silver/", datetime(2024, 1, 15, 10, 30)) == (
