@@ -13,11 +13,11 @@ from contrail.schema import MESSAGE
 PATH_TIME = r"(\d{4}/\d{2}/\d{2}/\d{6})"
 
 
-def json_files(spark: SparkSession, schema: T.StructType = MESSAGE):
+def json_files(spark: SparkSession, schema: T.StructType = MESSAGE, glob: str = "*.json"):
     """Reader for every `.json` file below a prefix, at any depth; other files are skipped."""
     return (
         spark.read.schema(schema)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
     )
 
@@ -28,10 +28,10 @@ def read_ndjson(spark: SparkSession, path: str | list[str], schema: T.StructType
 
 
 def read_json_documents(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = MESSAGE
+    spark: SparkSession, path: str | list[str], schema: T.StructType = MESSAGE, glob: str = "*.json"
 ) -> DataFrame:
     """Files that hold one object or an array of objects each."""
-    return json_files(spark, schema).option("multiLine", "true").json(path)
+    return json_files(spark, schema, glob).option("multiLine", "true").json(path)
 
 
 def read_tolerant(

@@ -156,3 +156,9 @@ def test_search_callsign(spark):
     df = frame(spark, {"callsign": "AIC101"}, {"callsign": "IGO2"}, {"callsign": None})
     assert clean.search_callsign(df, "aic").count() == 1
     assert clean.search_callsign(df, "").count() == 3
+
+
+def test_address_with_a_line_end_is_rejected(spark):
+    rows = spark.createDataFrame([("801642",), ("801642\n",), ("\n801642",), ("80164",)], "icao24 string")
+    found = rows.withColumn("bad", clean.failures(AS_OF)["icao24"])
+    assert [r.bad for r in found.collect()] == [False, True, True, True]
