@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op6_ngram_join": ngram_join.OP6_SQL,
     "op7_licenses": licenses.sql(),
     "op9_chat": chat.OP9_SQL,
 }

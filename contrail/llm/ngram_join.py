@@ -353,3 +353,38 @@ def drop_near_copies(
 def op6(docs: DataFrame) -> DataFrame:
     """The query's columns, for every document: three words, 90 percent."""
     return groups(docs, n=3, percent=90).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+# All pairs that share a shingle, then the closure of the links.
+OP6_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')]
+                               ELSE list_transform(list_zip(w, w[2:], w[3:]), lambda t: t[1] || ' ' || t[2] || ' ' || t[3]) END) AS s
+    FROM split)
+  WHERE s IS NOT NULL
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM shingle x JOIN shingle y USING (s)
+  WHERE x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+),
+link AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * n_both >= 90 * (p.n + q.n - n_both)
+),
+either AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+walk(doc_id, reached) AS (
+  SELECT a, a FROM either
+  UNION
+  SELECT walk.doc_id, either.b FROM walk JOIN either ON either.a = walk.reached
+),
+first AS (SELECT doc_id, min(reached) AS component_id FROM walk GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN first USING (doc_id)
+"""
