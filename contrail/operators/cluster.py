@@ -253,12 +253,12 @@ def dbscan(df: DataFrame, eps_km: float = 15, min_pts: int = 5) -> DataFrame:
     A point counts among its own neighbours. A point on the edge of several clusters
     goes to the lowest number, as in the sequential method over rows in time order.
     `eps_km` may be 50 at most: the grid is exact up to that reach. Longitudes may be written
-    either way at the date line. The input is written out once, because it is read at the start
-    and again when the numbers are joined to it.
+    either way at the date line. The input is read at the start, for its places, and again when
+    the numbers are joined to it; of it nothing but the places is written out.
     """
     session.shared_dir(df.sparkSession)
     grid = Grid(eps_km)
-    rows = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).checkpoint()
+    rows = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     # One way of writing a place comes first, or its sites would be told apart.
     lon = F.pmod(F.col("longitude") + 180.0, F.lit(360.0)) - 180.0
     lon = F.when(F.col("longitude").between(-180, 179.9999999), F.col("longitude")).otherwise(lon) + 0.0
