@@ -275,9 +275,16 @@ def _linked(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFram
     )
     open_lists = member.groupBy("shingle").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h")
     member = member.join(open_lists.select("shingle"), "shingle", "left_semi")
-    x = member.select("shingle", F.col("own").alias("x"), F.col("root").alias("root_x"))
-    y = member.select("shingle", F.col("own").alias("y"), F.col("root").alias("root_y"))
-    rest = x.join(y, "shingle").filter(F.expr("x.node < y.node AND root_x <> root_y") & _may_link("x", "y", percent))
+    # With the shingles that a set has of these lists, in order, a pair is made at the first it shares only.
+    placed = F.sort_array(F.collect_list(F.struct("own.pos", "shingle")))
+    shared = member.groupBy("own.node").agg(F.transform(placed, lambda s: s["shingle"]).alias("shared"))
+    member = member.withColumn("node", F.col("own.node")).join(shared, "node")
+    x = member.select("shingle", F.col("own").alias("x"), F.col("root").alias("root_x"), F.col("shared").alias("shared_x"))
+    y = member.select("shingle", F.col("own").alias("y"), F.col("root").alias("root_y"), F.col("shared").alias("shared_y"))
+    first = F.get(F.array_intersect("shared_x", "shared_y"), F.lit(0)) == F.col("shingle")
+    rest = x.join(y, "shingle").filter(
+        F.expr("x.node < y.node AND root_x <> root_y") & _may_link("x", "y", percent) & first
+    )
     rest = rest.select(*_pair("x.node", "y.node")).distinct().join(pairs, ["a", "b"], "left_anti")
     rest = stored(rest, "shingle-pairs")
     if rest.isEmpty():
