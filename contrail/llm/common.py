@@ -13,8 +13,24 @@ from contrail.session import prepare, scratch
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Rows and bytes that Spark hands to a Python worker at a time. Texts and sets are long, and
+# a worker holds a batch several times over.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Set the sizes of batches, where the session has others."""
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(prepare(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -22,6 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs no more than the tasks it was running.
     """
+    bounded(df.sparkSession)
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import bounded
+
 UNDETERMINED = "und"
 # Length of a profile, and of the list of a document's n-grams that is compared with it.
 PROFILE = 300
@@ -122,6 +124,7 @@ def learn(
     Only the profiles reach the driver, `length` n-grams a language. Without labelled rows there
     are none, and every text is undetermined.
     """
+    bounded(labelled.sparkSession)
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -139,7 +142,7 @@ def learn(
 
     summed = some.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
     summed = summed.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # Grams of a language are many times fewer than its texts; the heap keeps `length` of them a task.
+    # The distinct n-grams of the sample, cut to `length` in each of 64 parts and then in all.
     top = summed.selectExpr("lang", "struct(-n AS n, gram) AS x").groupBy("lang", F.pmod("x.gram", F.lit(64)))
     top = top.agg(F.slice(F.sort_array(F.collect_list("x")), 1, length).alias("x")).groupBy("lang")
     best = top.agg(F.slice(F.sort_array(F.flatten(F.collect_list("x"))), 1, length).alias("x"))
