@@ -31,12 +31,10 @@ MOST_BITS = 20  # so ids are below 2 ** 18
 PAIR_BITS = 18
 SURE = 3
 
-# Range coder without carries: 64-bit state, 16 bits at a time.
-TOP = np.uint64(1 << 48)
-BOTTOM = np.uint64(1 << 32)
+# Range coder without carries: 64-bit state, 32 bits at a time as soon as the span is below 2 ** 32.
+LIMIT = np.uint64(1 << 32)
 MASK = np.uint64((1 << 32) - 1)
-WORD = np.uint64(16)
-FIRST = np.uint64(48)
+WORD = np.uint64(32)
 FULL = np.uint64((1 << 64) - 1)
 MIX = np.uint64(MIX_BITS)
 
@@ -50,10 +48,10 @@ class Model:
             raise ValueError(f"ids must be below {1 << (MOST_BITS - 2)}")
         self.counts = np.zeros(size, np.int64)
         self.seen = 0
-        self.after = np.zeros(size, np.int64)
-        self.after_sure = np.zeros(size, np.int64)
-        self.pair = np.zeros(1 << PAIR_BITS, np.int64)
-        self.pair_sure = np.zeros(1 << PAIR_BITS, np.int64)
+        # What came last after an id, or after a pair of ids: the id, and in the last two bits how
+        # often in a row that has been right, and one more; 0 where nothing came yet.
+        self.after = np.zeros(size, np.int32)
+        self.pair = np.zeros(1 << PAIR_BITS, np.int32)
         self.routes = np.tile(np.array([1, 1, 30]), ((SURE + 1) ** 2, 1))
         self._spread()
 
@@ -62,8 +60,8 @@ class Model:
         total = 1 << self.bits
         share = 1 + self.counts * (total - len(self.counts)) // max(1, self.seen)
         share[0] += total - share.sum()
-        self.share = share.astype(np.uint64)
-        self.below = (np.cumsum(share) - share).astype(np.uint64)
+        self.share = share.astype(np.uint32)
+        self.below = (np.cumsum(share) - share).astype(np.uint32)
         total = 1 << MIX_BITS
         mix = 1 + self.routes * (total - 3) // self.routes.sum(1, keepdims=True)
         mix[:, 2] += total - mix.sum(1)
@@ -71,21 +69,20 @@ class Model:
         self.mix_below = (np.cumsum(mix, 1) - mix).astype(np.uint64)
 
     def ids_by_share(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.share), dtype=np.uint32), self.share.astype(np.int64))
+        kind = np.uint16 if len(self.share) <= 1 << 16 else np.uint32
+        return np.repeat(np.arange(len(self.share), dtype=kind), self.share)
 
     def predict(self, before: np.ndarray, last: np.ndarray):
         """(place of the pair, prediction of order 2, of order 1, how sure both are)."""
         place = (before * 0x9E3779B1 + last * 0x85EBCA6B >> 7) & ((1 << PAIR_BITS) - 1)
-        sure = self.pair_sure[place] * (SURE + 1) + self.after_sure[last]
-        return place, self.pair[place], self.after[last], sure
+        second, first = self.pair[place], self.after[last]
+        return place, second >> 2, first >> 2, (second & SURE) << 2 | first & SURE
 
     def learn(self, last, place, second, first, sure, ids, route) -> None:
         self.counts += np.bincount(ids, minlength=len(self.counts))
         self.seen += len(ids)
-        self.after_sure[last] = np.where(first == ids, np.minimum(self.after_sure[last] + 1, SURE), 1)
-        self.after[last] = ids
-        self.pair_sure[place] = np.where(second == ids, np.minimum(self.pair_sure[place] + 1, SURE), 1)
-        self.pair[place] = ids
+        self.after[last] = ids << 2 | np.where(first == ids, np.minimum((sure & SURE) + 1, SURE), 1)
+        self.pair[place] = ids << 2 | np.where(second == ids, np.minimum((sure >> 2) + 1, SURE), 1)
         self.routes += np.bincount(sure * 3 + route, minlength=self.routes.size).reshape(self.routes.shape)
         self._spread()
 
@@ -105,8 +102,9 @@ def _route(ids, second, first):
     return np.where(ids == second, 0, np.where(ids == first, 1, 2))
 
 
-def _unsettled(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    return ((low ^ (low + span)) < TOP) | (span < BOTTOM)
+def _settle(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Spans `y` at `x`, below 2 ** 32, cut where the upper halves of their ends differ."""
+    return np.where((x ^ (x + y)) < LIMIT, y, np.negative(x) & MASK) << WORD
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -123,15 +121,15 @@ def encode(ids: np.ndarray) -> bytes:
     table[2:] = padded.reshape(lanes, columns).T
     model = Model(int(ids.max()) + 1)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
-    words, at = np.zeros((lanes, 4 * columns + 8), "<u2"), np.zeros(lanes, np.int64)
+    words, at = np.zeros((lanes, columns + 2), "<u4"), np.zeros(lanes, np.int64)  # a word an id at most
     for start, stop in _steps(columns):
         now, last, before = (table[start + 2 - k : stop + 2 - k] for k in (0, 1, 2))
         place, second, first, sure = model.predict(before, last)
         route = _route(now, second, first)
         plain = route == 2
         mix_low, mix = model.mix_below[sure, route], model.mix[sure, route]
-        id_low = np.where(plain, model.below[now], np.uint64(0))
-        share = np.where(plain, model.share[now], np.uint64(1))
+        id_low = np.where(plain, model.below[now], 0).astype(np.uint64)
+        share = np.where(plain, model.share[now], 1).astype(np.uint64)
         shift = np.where(plain, np.uint64(model.bits), np.uint64(0))
         for k in range(len(now)):
             unit = span >> MIX
@@ -139,23 +137,17 @@ def encode(ids: np.ndarray) -> bytes:
             unit = mix[k] * unit >> shift[k]
             low += id_low[k] * unit
             span = share[k] * unit
-            some = np.flatnonzero(_unsettled(low, span))
-            while len(some):
-                x, y = low[some], span[some]
-                y = np.where((x ^ (x + y)) < TOP, y, np.negative(x) & MASK)
-                words[some, at[some]] = x >> FIRST
-                at[some] += 1
-                low[some] = x = x << WORD
-                span[some] = y = y << WORD
-                some = some[_unsettled(x, y)]
+            some = np.flatnonzero(span < LIMIT)
+            x = low[some]
+            words[some, at[some]] = x >> WORD
+            at[some] += 1
+            span[some] = _settle(x, span[some])
+            low[some] = x << WORD
         flat = (last, place, second, first, sure, now, route)
         model.learn(*(a.ravel() for a in flat))
     # A multiple of 2 ** 32 lies in each lane's span: its upper half ends the lane, zeros follow.
-    end = (low + MASK) >> np.uint64(32)
-    rows = np.arange(lanes)
-    words[rows, at] = end >> WORD
-    words[rows, at + 1] = end & np.uint64(0xFFFF)
-    at += 2
+    words[np.arange(lanes), at] = (low + MASK) >> WORD
+    at += 1
     body = words[np.arange(words.shape[1]) < at[:, None]]
     check = crc32(ids.tobytes())
     return _sealed(HEADER.pack(MAGIC, n, int(ids.max()), lanes, check) + at.astype("<u2").tobytes() + body.tobytes())
@@ -177,8 +169,8 @@ def decode(block: bytes) -> np.ndarray:
         if not n:
             return np.zeros(0, "<u4")
         lengths = np.frombuffer(block, "<u2", lanes, HEADER.size).astype(np.int64)
-        words = np.frombuffer(block, "<u2", int(lengths.sum()), HEADER.size + 2 * lanes).astype(np.uint64)
-        if lanes != -(-n // min(COLUMNS, n)) or len(block) != HEADER.size + 2 * (lanes + len(words)):
+        words = np.frombuffer(block, "<u4", int(lengths.sum()), HEADER.size + 2 * lanes).astype(np.uint64)
+        if lanes != -(-n // min(COLUMNS, n)) or len(block) != HEADER.size + 2 * lanes + 4 * len(words):
             raise ValueError("a block of token ids has another length than it says")
         ids = _decode(n, largest + 1, lanes, lengths, words)
     except (struct.error, IndexError) as error:
@@ -201,7 +193,7 @@ def _decode(n: int, size: int, lanes: int, lengths: np.ndarray, words: np.ndarra
 
     every = np.arange(lanes)
     code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
+    for _ in range(2):
         code = code << WORD | read(every)
     model = Model(size)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, FULL)
@@ -221,18 +213,15 @@ def _decode(n: int, size: int, lanes: int, lengths: np.ndarray, words: np.ndarra
             plain = np.flatnonzero(route == 2)
             unit = span[plain] >> bits
             slot = np.minimum((code[plain] - low[plain]) // unit, most)
-            found = by_share[slot.astype(np.int64)].astype(np.int64)
+            found = by_share[slot.astype(np.int64)]
             low[plain] += model.below[found] * unit
             span[plain] = model.share[found] * unit
             now[plain] = found
-            some = np.flatnonzero(_unsettled(low, span))
-            while len(some):
-                x, y = low[some], span[some]
-                y = np.where((x ^ (x + y)) < TOP, y, np.negative(x) & MASK)
-                code[some] = code[some] << WORD | read(some)
-                low[some] = x = x << WORD
-                span[some] = y = y << WORD
-                some = some[_unsettled(x, y)]
+            some = np.flatnonzero(span < LIMIT)
+            x = low[some]
+            code[some] = code[some] << WORD | read(some)
+            span[some] = _settle(x, span[some])
+            low[some] = x << WORD
             table[k] = now
             steps.append((table[k - 1], place, second, first, sure, now, route))
         model.learn(*(np.concatenate(a) for a in zip(*steps)))

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
 # Each worker remembers the ids of at most so many words, none longer than MAX_WORD characters.
 # When full it starts afresh, which changes no result.
-MAX_WORDS = 700_000
+MAX_WORDS = 1_200_000
 MAX_WORD = 64
 # Texts that are split at a time.
 AT_ONCE = 128
@@ -37,7 +38,10 @@ def tokenizer_path(name: str) -> str:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 def odd(text: str) -> bool:
@@ -85,9 +89,11 @@ class Encoder:
         blank = " " if self.byte_level else ""
         for key in keys:
             plain = PLAIN.fullmatch(key)
-            if plain and (plain[1] == "\n" or plain[3]):
+            # A word tokenizer lower-cases, so it has the same ids for a word in any case.
+            letters = plain and (plain[2] if self.byte_level else plain[2].lower())
+            if plain and (plain[1] == "\n" or plain[3] or letters != plain[2]):
                 parts = [f"{blank}{x}" for x in ("\n",) if plain[1] == x]
-                parts.append((blank if plain[1] else "") + plain[2])
+                parts.append((blank if plain[1] else "") + letters)
                 parts += [f"{blank}{x}" for x in (plain[3],) if x]
                 composed.append((key, parts))
                 new.update(x for x in parts if x not in known)
@@ -106,17 +112,13 @@ class Encoder:
         while some := list(islice(texts, AT_ONCE)):
             split = [None if odd(text) else self._keys(text) for text in some]
             known = self.known
-            found = [list(map(known.get, keys or ())) for keys in split]
-            new = {k for keys, ids in zip(split, found) if None in ids for k, x in zip(keys, ids) if x is None}
+            new = set().union(*filter(None, split)).difference(known)
             if len(known) + len(new) > MAX_WORDS:
                 known.clear()
-                new.update(*filter(None, split))
+                new = set().union(*filter(None, split))
             self._learn(new)
-            for text, keys, ids in zip(some, split, found):
-                if keys is None:
-                    yield self.whole([text])[0]
-                else:
-                    yield b"".join([known[k] if x is None else x for k, x in zip(keys, ids)] if None in ids else ids)
+            for text, keys in zip(some, split):
+                yield self.whole([text])[0] if keys is None else b"".join(map(known.__getitem__, keys))
             for key in [k for k in new if len(k) > MAX_WORD]:
                 del known[key]
 
