@@ -19,6 +19,8 @@ BITS = 7
 # Rows that the directions' quantiles and the window are fitted on, and queries among them.
 SAMPLE = 4096
 SAMPLE_QUERIES = 256
+# Longest rows that may be neighbours of the sample's queries too: a few can be the nearest of every query.
+LONG = 256
 # Recall that the window must reach on the sample.
 TARGET = 0.97
 # Queries that meet the rows of their windows in one group; queries of a group are neighbours on the curve.
@@ -71,7 +73,9 @@ class Curves:
     share: float = 1.0  # of all rows, on either side of a query
 
     @classmethod
-    def fit(cls, sample: np.ndarray, longest: float, seed: int = 7) -> Curves:
+    def fit(
+        cls, sample: np.ndarray, ids: np.ndarray, longest: float, long: np.ndarray, long_ids: np.ndarray, seed: int = 7
+    ) -> Curves:
         rng = np.random.default_rng(seed)
         dimensions = sample.shape[1] + 1
         width = min(DIRECTIONS, dimensions)
@@ -81,7 +85,7 @@ class Curves:
         for c in range(CURVES):
             levels = (steps + (c + 1) / CURVES) / (1 << BITS)
             curves.cuts[c] = np.quantile(curves.lifted(sample) @ curves.directions[c], levels, axis=0).T
-        curves.share = curves._share(sample)
+        curves.share = curves._share(sample, ids, long, long_ids)
         return curves
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
@@ -100,20 +104,32 @@ class Curves:
             out.append(hilbert(np.stack([np.searchsorted(k, f) for k, f in zip(cuts, flat.T)], 1)))
         return np.array(out)
 
-    def _share(self, sample: np.ndarray) -> float:
-        """The least window that finds TARGET of the sample's own neighbours.
+    def _share(self, sample: np.ndarray, ids: np.ndarray, long: np.ndarray, long_ids: np.ndarray) -> float:
+        """The least window that finds TARGET of the sample's neighbours among itself and the `long` rows.
 
-        These are further away than those among all rows, so the share errs on the safe side.
+        Queries stand on the curves where `search` puts them. The neighbours are further away than
+        those among all rows, so the share errs on the safe side.
         """
         if len(sample) < 64:
             return 1.0
         queries = np.arange(0, len(sample), max(1, len(sample) // SAMPLE_QUERIES))
-        scores = sample[queries] @ sample.T
-        scores[np.arange(len(queries)), queries] = -np.inf
+        rows, row_ids = np.vstack([sample, long]), np.concatenate([ids, long_ids])
+        scores = sample[queries] @ rows.T
+        scores[ids[queries][:, None] == row_ids] = -np.inf
         near = np.argsort(-scores, axis=1)[:, :20]
-        places = np.argsort(np.argsort(self.keys(sample, False), axis=1), axis=1)
-        apart = np.abs(places[:, near] - places[:, queries][:, :, None]).min(0)
-        return float(min(1.0, (np.quantile(apart, TARGET) + 1) / len(sample)))
+        # Places count the sample's rows before, in the order of `search`: key, id, rows before queries.
+        all_ids = np.concatenate([row_ids, ids[queries]])
+        asks = np.arange(len(all_ids)) >= len(rows)
+        counts = np.arange(len(all_ids)) < len(sample)
+        apart = []
+        for keys in np.hstack([self.keys(rows, False), self.keys(sample[queries], True)]):
+            order = np.lexsort((asks, all_ids, keys))
+            places = np.zeros(len(order), np.int64)
+            places[order] = np.cumsum(counts[order]) - counts[order]
+            apart.append(np.abs(places[near] - places[len(rows) :][:, None]))
+        found = np.take_along_axis(scores, near, 1) > -np.inf
+        least = np.min(apart, 0)[found]
+        return float(min(1.0, (np.quantile(least, TARGET) + 1) / len(sample))) if len(least) else 1.0
 
 
 def _vectors(frame: pd.Series) -> np.ndarray:
@@ -142,8 +158,8 @@ def search(
     with several vectors, each is a query or candidate and the best counts. An empty table gives no rows.
 
     All rows are indexed. The rows that the curves and the window are fitted on are a sample of
-    SAMPLE rows at most, those of smallest hash. Where vectors have no structure, the window that
-    recall needs is a large share of all rows.
+    SAMPLE rows at most, those of smallest hash, and the LONG longest. Where vectors have no structure, or
+    few of them are much longer than the rest, the window that recall needs is a large share of all rows.
     """
     spark = vectors.sparkSession
     double = F.col(vector_col).cast("array<double>")
@@ -160,7 +176,9 @@ def search(
     if not 0 < longest < float("inf"):
         raise ValueError("norms of the vectors overflow or vanish in double precision")
     sample = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).collect()
-    curves = Curves.fit(np.array([r["v"] for r in sample]), longest)
+    long = rows.orderBy(norm.desc(), "id", F.xxhash64("v")).limit(LONG).collect()
+    of = [(np.array([r["v"] for r in some]), np.array([r["id"] for r in some], np.int64)) for some in (sample, long)]
+    curves = Curves.fit(*of[0], longest, *of[1])
     fitted = spark.sparkContext.broadcast(curves)
 
     def index(query: bool):

@@ -88,6 +88,23 @@ def test_recall_in_clusters(spark):
     check(spark, rows, 0.9)
 
 
+def flat(rng, n, long):
+    """Vectors of norm 1 in 4 of 32 dimensions, the first `long` of norm 10."""
+    x = rng.normal(size=(n, 4)) @ rng.normal(size=(4, 32))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    x[:long] *= 10
+    return [(i + 1, v) for i, v in enumerate(x)]
+
+
+def test_recall_with_few_long_vectors(spark, monkeypatch):
+    # Small groups and buckets, so that the window and not their size settles what is compared.
+    monkeypatch.setattr(hilbert, "GROUP", 2)
+    monkeypatch.setattr(hilbert, "LEAST", 16)
+    monkeypatch.setattr(hilbert, "BUCKETS", 400)
+    for long in (0, 1, 30):
+        check(spark, flat(np.random.default_rng(5), 6000, long), 0.95)
+
+
 def test_whole_table(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in frame.collect()]
