@@ -116,7 +116,7 @@ class Curves:
         rows, row_ids = np.vstack([sample, long]), np.concatenate([ids, long_ids])
         scores = sample[queries] @ rows.T
         scores[ids[queries][:, None] == row_ids] = -np.inf
-        near = np.argsort(-scores, axis=1)[:, :20]
+        near = nearest(scores, row_ids, 20)
         # Places count the sample's rows before, in the order of `search`: key, id, rows before queries.
         all_ids = np.concatenate([row_ids, ids[queries]])
         asks = np.arange(len(all_ids)) >= len(rows)
@@ -132,6 +132,13 @@ class Curves:
         return float(min(1.0, (np.quantile(least, TARGET) + 1) / len(sample))) if len(least) else 1.0
 
 
+def nearest(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the `k` best distinct ids in each row, each id where it scores best; fewer where there are fewer."""
+    order = np.argsort(-scores, axis=1)
+    firsts = [np.sort(np.unique(ids[some], return_index=True)[1])[:k] for some in order]
+    return np.array([some[first] for some, first in zip(order, firsts)])
+
+
 def _vectors(frame: pd.Series) -> np.ndarray:
     return np.array(frame.to_list(), np.float64).reshape(len(frame), -1)
 
@@ -252,16 +259,14 @@ def search(
 
 
 class Best:
-    """The best candidates of a group of queries, as batches of rows come by.
+    """The `k` best distinct ids for each of a group of queries, as batches of rows come by.
 
-    Products by block find them; those kept are scored again one by one, in an order of summation that
+    An id counts with its best vector. Products by block find them; those kept are scored again one by one, in an order of summation that
     doesn't depend on the block, so equal vectors have equal scores.
     """
 
-    SPARE = 12  # kept beyond k, for ids that repeat with several vectors
-
     def __init__(self, k: int):
-        self.keep = k + self.SPARE
+        self.keep = k
         self.ids: np.ndarray = np.zeros(0, np.int64)
         self.vectors: np.ndarray | None = None
 
@@ -276,13 +281,25 @@ class Best:
             self._offer(ids[i : i + 2048], vectors[i : i + 2048])
 
     def _offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
         scores = self.vectors @ vectors.T
         scores[self.ids[:, None] == ids] = -np.inf
+        # Products by block may differ in the last digits.
+        slack = 1e-11 * np.sqrt((self.vectors**2).sum(1) * (vectors**2).sum(1).max())[:, None]
+        # The best of each id: what is below the best of its own id is no candidate.
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        repeats = len(starts) < len(ids)
+        tops = np.maximum.reduceat(scores, starts, axis=1) if repeats else scores
         least = self.scores.min(1)
-        if len(ids) > self.keep:
-            least = np.maximum(least, -np.partition(-scores, self.keep - 1, axis=1)[:, self.keep - 1])
-        least -= 1e-9 * np.abs(least)  # products by block may differ in the last digits
-        row, column = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+        if len(starts) > self.keep:
+            least = np.maximum(least, -np.partition(-tops, self.keep - 1, axis=1)[:, self.keep - 1])
+        candidate = (scores > -np.inf) & (scores >= least[:, None] - slack)
+        if repeats:
+            candidate &= scores >= np.repeat(tops, np.diff(np.append(starts, len(ids))), axis=1) - slack
+        row, column = np.nonzero(candidate)
+        if not len(row):
+            return
         exact = np.concatenate(
             [np.zeros(0)]
             + [
@@ -294,6 +311,11 @@ class Best:
         row = np.concatenate([np.repeat(changed, self.keep), row])
         exact = np.concatenate([self.scores[changed].ravel(), exact])
         found = np.concatenate([self.found[changed].ravel(), ids[column]])
+        # An id's lesser scores become empty slots.
+        order = np.lexsort((-exact, found, row))
+        row, exact, found = row[order], exact[order], found[order]
+        again = np.append(False, (row[1:] == row[:-1]) & (found[1:] == found[:-1]))
+        exact[again], found[again] = -np.inf, np.iinfo(np.int64).max
         order = np.lexsort((found, -exact, row))
         row, exact, found = row[order], exact[order], found[order]
         # The first `keep` of each row; every row has as many, those it had before.

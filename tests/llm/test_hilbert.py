@@ -105,6 +105,33 @@ def test_recall_with_few_long_vectors(spark, monkeypatch):
         check(spark, flat(np.random.default_rng(5), 6000, long), 0.95)
 
 
+def test_an_id_with_many_vectors_takes_one_slot(spark):
+    # A third of all rows are one id's, all near the queries.
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8) + 1) for i in range(1, 2001)]
+    rows += [(7, 3 + rng.normal(size=8) * 0.1) for _ in range(1000)] + [(40, 3 + rng.normal(size=8)) for _ in range(60)]
+    got, _ = check(spark, rows, 0.95)
+    assert all(len(x) == 20 for x in got.values())
+
+
+def test_best_ids_of_blocks():
+    rng = np.random.default_rng(7)
+    for k in (1, 3, 20):
+        ids, x = rng.integers(0, 40, 6000), rng.normal(size=(6000, 4)).round(1)
+        best = hilbert.Best(k)
+        best.ask(np.array([3, 3, 99]), rng.normal(size=(3, 4)).round(1))
+        for i in range(0, 6000, 2500):
+            best.offer(ids[i : i + 2500], x[i : i + 2500])
+        want = set()
+        for q, v in zip(best.ids, best.vectors):
+            top = {}
+            for i, s in zip(ids.tolist(), (v * x).sum(1).tolist()):
+                if i != q:
+                    top[i] = max(top.get(i, -np.inf), s)
+            want |= {(int(q), i, s) for i, s in sorted(top.items(), key=lambda p: (-p[1], p[0]))[:k]}
+        assert set(best.rows().itertuples(index=False, name=None)) == want
+
+
 def test_whole_table(spark):
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in frame.collect()]
