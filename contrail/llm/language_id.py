@@ -20,6 +20,10 @@ PROFILE = 300
 # them by a hash of the id, and all where there are fewer.
 SAMPLE = 2000
 
+# A text is in none of the languages if it scores less than this part of what all but this share of the
+# documents that carry the language's label reach; texts unlike the labelled ones have room below those.
+LOW, PART = 0.01, 0.5
+
 # An n-gram of up to three letters is one integer, 21 bits a letter. A run of other characters
 # counts as one blank, which has a code above all letters and only begins or ends an n-gram.
 BITS = 21
@@ -159,16 +163,36 @@ def predicted(text: Column, profiles: Profiles) -> Column:
     return predict(text)
 
 
+def limits(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """The least score of a text of each language, from all documents that carry its label and are found to be in it."""
+    rows = docs.filter(F.col(lang_col).isNotNull())
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), predicted(F.col(text_col), profiles).alias("guess"))
+    own = F.when(F.col("guess.lang") == F.col("lang"), F.col("guess.score"))
+    low = rows.groupBy("lang").agg(F.percentile_approx(own, LOW).alias("low")).filter("low IS NOT NULL")
+    return {r["lang"]: PART * r["low"] for r in low.collect()}
+
+
 def known_language(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.0
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float | None = None
 ) -> DataFrame:
     """The rows of `docs` whose text is in one of the languages that its labels name.
 
-    Rejected are texts that are null or without letters, and those whose score is `least` or
-    less: by default, those that share no n-gram with any profile.
+    Rejected are texts that are null or without letters, those that share no n-gram with any profile, and
+    those whose score is `least` or less: by default, the language's own of `limits`. Where
+    no row has a label there is no language to keep to, and all rows stay.
     """
-    guess = predicted(F.col(text_col), learn(docs, id_col, text_col, lang_col))
-    return docs.filter((guess["lang"] != UNDETERMINED) & (guess["score"] > least))
+    profiles = learn(docs, id_col, text_col, lang_col)
+    if not profiles.languages:
+        return docs
+    low = limits(docs, profiles, text_col, lang_col) if least is None else dict.fromkeys(profiles.languages, least)
+
+    # One function decides, so that a text is compared once whatever the filter asks of it.
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        guesses = (profiles.predict(t) for t in texts)
+        return pd.Series([lang != UNDETERMINED and score > low.get(lang, 0.0) for lang, score in guesses], dtype=bool)
+
+    return docs.filter(known(F.col(text_col)))
 
 
 def op5(docs: DataFrame) -> DataFrame:

@@ -101,3 +101,16 @@ def test_odd_rows(spark):
     assert language_id.op5(nothing).count() == 0
     unlabelled = language_id.op5(frame.selectExpr("doc_id", "text", "cast(null AS string) AS lang"))
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
+
+
+def test_known_language_has_a_limit_from_the_labels(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    other = [(-1, "xyzzy qwv kjq"), (-2, "zx"), (-3, "Wkx qzj e vvq"), (-4, "Это текст a")]
+    rows = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(other, "doc_id long, text string").selectExpr("*", "null"))
+    kept = {r.doc_id for r in language_id.known_language(rows).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_known_language_without_labels_keeps_all(spark):
+    frame = spark.createDataFrame([(1, "some text", None, ""), (2, None, None, ""), (3, "12", None, "")], SCHEMA)
+    assert sorted(r.doc_id for r in language_id.known_language(frame).collect()) == [1, 2, 3]
