@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import chat, exact_dedup, hilbert, language_id, licenses, mixing, ngram_join, packing, secrets, token_store
+from contrail.llm import (
+    chat,
+    exact_dedup,
+    hilbert,
+    language_id,
+    licenses,
+    mixing,
+    ngram_join,
+    packing,
+    prefix_trie,
+    resampling,
+    secrets,
+    sharding,
+    token_store,
+)
 from contrail.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +36,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_store": lambda spark, d: token_store.op8(table(spark, d, "documents")),
     "op9_chat": lambda spark, d: chat.op9(table(spark, d, "conversations")),
     "op10_secrets": lambda spark, d: secrets.op10(table(spark, d, "documents")),
+    "op11_prefix_trie": lambda spark, d: prefix_trie.op11(table(spark, d, "conversations")),
+    "op12_sharding": lambda spark, d: sharding.op12(table(spark, d, "documents")),
+    "op13_resampling": lambda spark, d: resampling.op13(table(spark, d, "documents"), table(spark, d, "benchmark")),
 }
 SQL: dict[str, str] = {
     "op1_mixing": mixing.OP1_SQL,
@@ -29,4 +46,7 @@ SQL: dict[str, str] = {
     "op6_ngram_join": ngram_join.OP6_SQL,
     "op7_licenses": licenses.sql(),
     "op9_chat": chat.OP9_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_sharding": sharding.OP12_SQL,
+    "op13_resampling": resampling.OP13_SQL,
 }

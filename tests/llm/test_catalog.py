@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(catalog.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(catalog.SQL) <= set(catalog.QUERIES)
 
