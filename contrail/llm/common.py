@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.session import prepare, scratch
+from contrail.sinks.tables import remove
 
 # A word, for sizes and shingles: a run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +46,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(kept: DataFrame, *read: DataFrame) -> DataFrame:
+    """`kept`, after the files of `read` (results of `stored`) are removed: nothing that is still to run may need them."""
+    for frame in read:
+        for file in {os.path.dirname(name) for name in frame.inputFiles()}:
+            remove(frame.sparkSession, file)
+    return kept
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` doesn't have."""
     taken = {column.lower() for column in df.columns}

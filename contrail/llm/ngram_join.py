@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stored
-from contrail.operators.cluster import components
+from contrail.llm.closure import roots as roots_of
+from contrail.llm.common import release, stored
 from contrail.plans.skew import hot_keys, salted_join
 
 # Shingles are counted in so many buckets of their hash. The counts only set the order in which a
@@ -23,6 +23,8 @@ BLOCKS = 64
 PICK_BITS = 24
 # Ranges of the hash in which the suffix filter counts a document's shingles, up to 255 in each.
 RANGE_BITS = 7
+# Longs of parity bits that a posting carries.
+PARITIES = [f"p{i}" for i in range(4)]
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -65,6 +67,15 @@ def range_counts(found: np.ndarray) -> bytes:
     return np.minimum(np.bincount(ranges, minlength=1 << RANGE_BITS), 255).astype(np.uint8).tobytes()
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether an odd number of a document's shingles falls on each of the parity bits, as longs.
+
+    Where two sets differ in this, they differ in a shingle: the bits that differ are never more than the shingles.
+    """
+    bits = (found & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64)
+    return np.packbits(np.bincount(bits, minlength=64 * len(PARITIES)).astype(np.uint8) & 1).view(np.int64)
+
+
 def shingle_counts(texts: DataFrame, n: int) -> np.ndarray:
     """How many documents' shingles fall in each bucket, over all rows of `texts` (one column).
 
@@ -102,7 +113,7 @@ def shingle_counts(texts: DataFrame, n: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(id, text_hash, n_shingles, signature, ranges, prefix); the last three are null without shingles.
+    """(id, text_hash, n_shingles, signature, ranges, parity, prefix); the last four are null without shingles.
 
     Two sets that overlap enough share a shingle of both prefixes. Rare buckets come first.
     """
@@ -116,19 +127,20 @@ def _prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for doc, text, text_hash in zip(frame["_id"], frame["_text"], frame["_text_hash"]):
                 found = shingles(text, n)
                 if not len(found):
-                    out.append((doc, text_hash, 0, None, None, None))
+                    out.append((doc, text_hash, 0, None, None, None, None))
                     continue
                 order = np.argsort(counts.value[_bucket(found)], kind="stable")
                 most = len(found) - (percent * len(found) + 99) // 100 + 1
                 signature = xxhash.xxh3_128_digest(found.tobytes())
                 prefix = found[order[:most]].view(np.int64)
-                out.append((doc, text_hash, len(found), signature, range_counts(found), prefix))
-            columns = ["id", "text_hash", "n_shingles", "signature", "ranges", "prefix"]
+                out.append((doc, text_hash, len(found), signature, range_counts(found), parities(found), prefix))
+            columns = ["id", "text_hash", "n_shingles", "signature", "ranges", "parity", "prefix"]
             yield pd.DataFrame(out, columns=columns).astype({"id": "Int64"})
 
     return stored(
         docs.mapInPandas(
-            run, "id long, text_hash long, n_shingles long, signature binary, ranges binary, prefix array<long>"
+            run,
+            "id long, text_hash long, n_shingles long, signature binary, ranges binary, parity array<long>, prefix array<long>",
         ),
         "shingle-prefixes",
     )
@@ -140,11 +152,13 @@ def _enough(overlap: Column, sizes: Column, percent: int) -> Column:
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length filter, and positional filter for two sets whose first shared shingle this is."""
-    size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
+    """Length filter, positional filter for two sets whose first shared shingle this is, and the parity bits' bound."""
+    size_a, size_b = F.col(f"{a}.size").cast("long"), F.col(f"{b}.size").cast("long")
     room = F.least(size_a - F.col(f"{a}.pos"), size_b - F.col(f"{b}.pos"))
     longer, shorter = F.greatest(size_a, size_b), F.least(size_a, size_b)
-    return (shorter * 100 >= longer * percent) & _enough(room, size_a + size_b, percent)
+    apart = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITIES), F.lit(0))
+    near = (size_a + size_b - apart) * (100 + percent) >= (size_a + size_b) * (2 * percent)
+    return (shorter * 100 >= longer * percent) & _enough(room, size_a + size_b, percent) & near
 
 
 def suffix_filter(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -213,7 +227,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, perce
         for frame in frames:
             yield frame.loc[[overlaps(x, y, percent) for x, y in zip(frame["set_a"], frame["set_b"])], ["a", "b"]]
 
-    return stored(both.select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long"), "shingle-links")
+    links = stored(both.select("a", "b", "set_a", "set_b").mapInPandas(run, "a long, b long"), "shingle-links")
+    return release(links, sets, pairs)
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -221,7 +236,7 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _shared_postings(nodes: DataFrame) -> DataFrame:
-    """(shingle, pos, size, node) of the prefix shingles that more than one set has.
+    """(shingle, pos, size, node, PARITIES) of the prefix shingles that more than one set has.
 
     Of most shingles only the count is shuffled: postings are picked out by a set of bits before.
     """
@@ -245,11 +260,13 @@ def _shared_postings(nodes: DataFrame) -> DataFrame:
                     "size": np.repeat(frame["n_shingles"].to_numpy(np.int32), lengths),
                     "node": np.repeat(frame["node"].to_numpy(), lengths),
                 }
+                | dict(zip(PARITIES, np.repeat(np.stack(frame["parity"].to_list()), lengths, axis=0).T))
             )
             yield all_rows[shared.value[shingle.view(np.uint64) >> np.uint64(64 - PICK_BITS)]]
 
-    postings = nodes.select("node", "n_shingles", "prefix").mapInPandas(pick, "shingle long, pos int, size int, node long")
-    return stored(postings.join(lists, "shingle", "left_semi"), "shingle-postings")
+    schema = "shingle long, pos int, size int, node long, " + ", ".join(f"{p} long" for p in PARITIES)
+    postings = nodes.select("node", "n_shingles", "parity", "prefix").mapInPandas(pick, schema)
+    return release(stored(postings.join(lists, "shingle", "left_semi"), "shingle-postings"), lists)
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -258,39 +275,31 @@ def _linked(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFram
     First every posting list is compared with its leader, the set in whose prefix the shingle comes
     first: of near copies, the one that the others were made from. Then only sets of one list
     that are not linked yet are compared, so that a large group of near copies is not paired out.
+
+    Postings are narrow rows of one width. A pair is made at every shingle that both prefixes share, where its lengths, places
+    and parity bits still allow a link, and is counted once.
     """
     shared = _shared_postings(nodes)
-    order = F.struct("pos", "size", "node")
-    leads = shared.groupBy("shingle").agg(F.min(order).alias("lead"))
-    member = shared.join(leads, "shingle").select("shingle", "lead", order.alias("own"))
-    member = stored(member, "shingle-members")
-    pairs = member.filter(F.expr("own.node <> lead.node") & _may_link("own", "lead", percent))
+    own = F.struct("pos", "size", "node", *PARITIES)
+    leads = shared.groupBy("shingle").agg(F.min(own).alias("lead"))
+    pairs = shared.select("shingle", own.alias("own")).join(leads, "shingle")
+    pairs = pairs.filter(F.expr("own.node <> lead.node") & _may_link("own", "lead", percent))
     pairs = stored(pairs.select(*_pair("own.node", "lead.node")).distinct(), "shingle-pairs")
     links = _verified(pairs, docs, nodes, n, percent)
-    roots = stored(components(links), "shingle-roots")
+    roots = stored(roots_of(links), "shingle-roots")
 
-    member = member.select("shingle", "own", F.col("own.node").alias("node")).join(roots, "node", "left")
-    member = stored(
-        member.select("shingle", "own", F.coalesce("root", "node").alias("root")), "shingle-members"
-    )
+    member = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_lists = member.groupBy("shingle").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h")
-    member = member.join(open_lists.select("shingle"), "shingle", "left_semi")
-    # With the shingles that a set has of these lists, in order, a pair is made at the first it shares only.
-    placed = F.sort_array(F.collect_list(F.struct("own.pos", "shingle")))
-    shared = member.groupBy("own.node").agg(F.transform(placed, lambda s: s["shingle"]).alias("shared"))
-    member = member.withColumn("node", F.col("own.node")).join(shared, "node")
-    x = member.select("shingle", F.col("own").alias("x"), F.col("root").alias("root_x"), F.col("shared").alias("shared_x"))
-    y = member.select("shingle", F.col("own").alias("y"), F.col("root").alias("root_y"), F.col("shared").alias("shared_y"))
-    first = F.get(F.array_intersect("shared_x", "shared_y"), F.lit(0)) == F.col("shingle")
-    rest = x.join(y, "shingle").filter(
-        F.expr("x.node < y.node AND root_x <> root_y") & _may_link("x", "y", percent) & first
-    )
+    member = stored(member.join(open_lists.select("shingle"), "shingle", "left_semi"), "shingle-members")
+    release(shared, shared)
+    x, y = (member.select("shingle", F.struct("pos", "size", "node", "root", *PARITIES).alias(side)) for side in "xy")
+    rest = x.join(y, "shingle").filter(F.expr("x.node < y.node AND x.root <> y.root") & _may_link("x", "y", percent))
     rest = rest.select(*_pair("x.node", "y.node")).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "shingle-pairs")
+    rest = release(stored(rest, "shingle-pairs"), member, pairs)
     if rest.isEmpty():
         return roots
     more = _verified(rest, docs, nodes, n, percent)
-    return components(more.union(roots.select("node", "root")))
+    return stored(roots_of(more.union(roots.select("node", "root"))), "shingle-roots")
 
 
 def groups(
@@ -320,6 +329,7 @@ def groups(
         .agg(
             F.first("n_shingles").alias("n_shingles"),
             F.first("ranges").alias("ranges"),
+            F.first("parity").alias("parity"),
             F.first("prefix").alias("prefix"),
             F.min(F.struct("id", "text_hash")).alias("first"),
             F.max("id").alias("rep_id"),
