@@ -55,6 +55,18 @@ def radar_rows(
     return rows.withColumn("side", side).orderBy("distance_km", "icao24")
 
 
+def interleaved(lat: str = "latitude", lon: str = "longitude", bits: int = 16) -> Column:
+    """Row and column of a position on a grid of 2^bits a side, bit by bit in turn: near numbers are near places."""
+    side = F.lit(float(1 << bits))
+    row = F.floor((F.col(lat) + 90.0) / 180.0 * side).cast("long")
+    column = F.floor((F.col(lon) + 180.0) / 360.0 * side).cast("long")
+    key = F.lit(0).cast("long")
+    for i in range(bits):
+        for value, shift in ((row, 2 * i + 1), (column, 2 * i)):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(value, i).bitwiseAND(F.lit(1)), shift))
+    return key
+
+
 def unit_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"altitude_ft": feet(F.col("baro_altitude")), "speed_kt": knots(F.col("velocity"))}
@@ -159,7 +171,8 @@ def match_places(
 ) -> DataFrame:
     """Add `place`: the first listed place within `tolerance` degrees, else "Unknown".
 
-    The list is a short literal, so this is one expression and not a join.
+    The list is a short literal, so this is one expression and not a join; for a table of places there is
+    `match_place_table`.
     """
     match = F.lit(None).cast("string")
     for name, lat, lon in reversed(places):
@@ -167,3 +180,37 @@ def match_places(
         near = F.sqrt(north * north + east * east) < tolerance
         match = F.when(near, F.lit(name)).otherwise(match)
     return centres.withColumn("place", F.coalesce(match, F.lit("Unknown")))
+
+
+def match_place_table(centres: DataFrame, places: DataFrame, tolerance: float = 0.5) -> DataFrame:
+    """`match_places` against a table of places (pos, name, latitude, longitude): the lowest `pos` in reach.
+
+    A grid of `tolerance` degrees makes it an equi-join: a place is copied to the nine cells that it can reach, a
+    centre stands in one. Candidates are reduced to one row a centre in the task that joins them, before they are
+    shuffled; a busy cell is left to Spark's skew join, which may split its centres. Centres without a position match nothing.
+    """
+    step = F.lit(float(tolerance))
+    row, column = (lambda c: F.floor(c / step)), (lambda c: F.floor(c / step))
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    reached = places.select(
+        F.col("pos").alias("_pos"),
+        F.col("name").alias("_name"),
+        F.col("latitude").alias("_lat"),
+        F.col("longitude").alias("_lon"),
+        F.explode(around).alias("_d"),
+    ).select(
+        "_pos", "_name", "_lat", "_lon",
+        (row(F.col("_lat")) + F.col("_d.i")).alias("_row"), (column(F.col("_lon")) + F.col("_d.j")).alias("_column"),
+    )
+    held = centres.select(
+        F.struct("*").alias("_centre"),
+        F.monotonically_increasing_id().alias("_id"),
+        row(F.col("latitude")).alias("_row"),
+        column(F.col("longitude")).alias("_column"),
+    )
+    north, east = F.col("_centre.latitude") - F.col("_lat"), F.col("_centre.longitude") - F.col("_lon")
+    near = F.sqrt(north * north + east * east) < tolerance
+    found = held.join(reached, ["_row", "_column"], "left").groupBy("_id").agg(
+        F.first("_centre").alias("_centre"), F.min(F.when(near, F.struct("_pos", "_name"))).alias("_found")
+    )
+    return found.select("_centre.*", F.coalesce("_found._name", F.lit("Unknown")).alias("place"))

@@ -199,7 +199,8 @@ def _streamed_silver(p: Inputs) -> tuple[str, str]:
 
     folder = _arriving(p, p.raw, advance)
     again = p.spark.readStream.schema(p.raw.schema).option("recursiveFileLookup", "true").parquet(folder)
-    silver.silver_stream(again, path, scratch(p.spark, "new-offsets"), tie_break=["event_id"]).awaitTermination()
+    other = scratch(p.spark, "new-offsets")
+    silver.silver_stream(again, path, other, tie_break=["event_id"], rejects=rejects).awaitTermination()
     return path, rejects
 
 
@@ -213,8 +214,8 @@ def _(p: Inputs):
 
 @query("silver_stream_rejects", BASE + f"select event_id, icao24, time_position, {stamp('processed_at')} from flagged where bad")
 def _(p: Inputs):
-    _, rejects = _streamed_silver(p)
-    return p.spark.read.parquet(rejects).select("event_id", "icao24", "time_position", "processed_at")
+    path, rejects = _streamed_silver(p)
+    return silver.read_rejects(p.spark, rejects, path).select("event_id", "icao24", "time_position", "processed_at")
 
 
 @query("silver_stream_replayed", f"""
@@ -225,7 +226,7 @@ def _(p: Inputs):
     """Two days of a streamed table are rebuilt; a replay keeps the last copy of a report."""
     path, _ = _streamed_silver(p)
     clock = F.col("processed_at")
-    tables.replay(lambda: p.raw, path, ["2024-01-10", "2024-01-11"], clock, tie_break=["event_id"])
+    silver.replay(lambda: p.raw, path, ["2024-01-10", "2024-01-11"], clock, tie_break=["event_id"])
     return silver.read_silver(p.spark, path).select(*ALL_SILVER)
 
 
@@ -255,6 +256,15 @@ def _(p: Inputs):
 QUIET = 86400
 
 
+def _shown(rows: DataFrame) -> DataFrame:
+    pairs = F.transform("trail", lambda t: F.array(t["longitude"], t["latitude"]))
+    return rows.select(
+        "icao24", "time_position", "callsign", "baro_altitude", "squawk", "true_track", "origin_country", "trend",
+        F.round("distance_km", 6).alias("distance_km"), _path_text(pairs).alias("trail"),
+    )
+
+
+
 @query("live_state", BASE + f"""
   , gaps as (
     select *, coalesce(time_position - lag(time_position) over w > {QUIET}, true) as broke,
@@ -277,14 +287,4 @@ def _(p: Inputs):
     after a day without one."""
     fed = clean.to_event_time(clean.dedupe(clean.validate(clean.normalise(p.raw), p.as_of)[0], tie_break=["event_id"]))
     live_rows = _to_parquet(p, fed, lambda stream: live.track_live(stream, "31 days", QUIET), "live")
-    rows = live_rows.filter("status = 'live'")
-    newest = Window.partitionBy("icao24").orderBy(F.desc("time_position"), F.desc(F.size("trail")))
-    pairs = F.transform("trail", lambda t: F.array(t["longitude"], t["latitude"]))
-    return (
-        rows.withColumn("_n", F.row_number().over(newest))
-        .filter("_n = 1")
-        .select(
-            "icao24", "time_position", "callsign", "baro_altitude", "squawk", "true_track", "origin_country", "trend",
-            F.round("distance_km", 6).alias("distance_km"), _path_text(pairs).alias("trail"),
-        )
-    )
+    return _shown(live.current(live_rows))

@@ -71,6 +71,19 @@ def refresh_table(df: DataFrame, path: str, schema: T.StructType = S.SILVER, fmt
     )
 
 
+def write_clustered(df: DataFrame, path: str, by: list[str | Column], files: int, whole: bool = True) -> None:
+    """Write `df` so that each file holds one range of `by`, whose rows are sorted.
+
+    A reader that filters on those columns, or on what they are made of, skips files by their least and greatest
+    values. `files` is the number of ranges; a value that fills several of them is spread over several files by a
+    hash of the row. For positions `by` is `operators.geo.interleaved`.
+    """
+    keys = {f"_by{i}": F.col(key) if isinstance(key, str) else key for i, key in enumerate(by)}
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    ranged = df.withColumns(keys).repartitionByRange(files, *keys, spread).sortWithinPartitions(*keys)
+    ranged.drop(*keys).write.mode("overwrite" if whole else "append").parquet(path)
+
+
 # --- incremental upsert ----------------------------------------------------
 
 
@@ -220,6 +233,15 @@ def merge_into_table(source: DataFrame, table: str, key: str = "position_id") ->
     )
 
 
+def rebuilt(
+    raw: DataFrame, dates: list[str], as_of: str | Column, tie_break: list[str] | None = None
+) -> DataFrame:
+    """Silver rows of `dates` from raw reports with `processed_at`; dates are picked before any shuffle."""
+    wanted = [F.lit(day).cast("date") for day in dates]
+    chosen = raw.filter(F.to_date(F.timestamp_seconds("time_position")).isin(*wanted))
+    return clean.to_silver(chosen, as_of, tie_break)
+
+
 def replay(
     read_bronze: Callable[[], DataFrame],
     path: str,
@@ -227,16 +249,13 @@ def replay(
     as_of: str | Column,
     tie_break: list[str] | None = None,
 ) -> None:
-    """Rebuild the silver partitions of `dates` from the raw history.
+    """Rebuild the silver partitions of `dates` from the raw history; other partitions stay as they are.
 
-    `read_bronze` returns raw reports with `processed_at`; `files.read_landed` reads only the arrival
-    dates that may hold them. The dates become a range on `time_position` before any shuffle; other
-    partitions stay as they are. The table may be one that a stream adds to.
+    `read_bronze` must return all raw reports of `dates`: what it leaves out is gone from the table.
+    `streaming.arrivals.replay_landed` finds them by an index of the landed folders; for a table that a stream adds
+    to there is `streaming.silver.replay`.
     """
-    raw = read_bronze()
-    wanted = [F.lit(day).cast("date") for day in dates]
-    chosen = raw.filter(F.to_date(F.timestamp_seconds("time_position")).isin(*wanted))
-    write_silver(clean.to_silver(chosen, as_of, tie_break), path)
+    write_silver(rebuilt(read_bronze(), dates, as_of, tie_break), path)
 
 
 # --- messages, views, metrics ----------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,16 +76,26 @@ def read_tolerant(
     return good, errors
 
 
+# What `streaming.bronze.land` writes.
+LANDED = "value string, origin string, position long, landed_at timestamp, ingest_date date"
+
+
 def read_landed(
-    spark: SparkSession, path: str, first: str | None = None, last: str | None = None, schema: T.StructType = MESSAGE
+    spark: SparkSession,
+    path: str,
+    first: str | None = None,
+    last: str | None = None,
+    schema: T.StructType = MESSAGE,
+    arrivals: list[date] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(reports, dead letters) of messages that `streaming.bronze.land` wrote.
 
-    `first` and `last` are arrival dates; no other folders are read. A replay of some days wants
-    a margin for late arrival. A report's `processed_at` is the time when it was landed.
+    `first` and `last` are arrival dates, `arrivals` a list of them; no other folders are read. Which arrival
+    dates hold a day's reports `streaming.arrivals` knows. A report's `processed_at` is the time when it was landed.
     """
-    landed = spark.read.schema("value string, origin string, position long, landed_at timestamp, ingest_date date")
-    rows = landed.json(path)
+    rows = spark.read.schema(LANDED).json(path)
+    if arrivals is not None:
+        rows = rows.filter(F.col("ingest_date").isin(*[F.lit(day) for day in arrivals]) if arrivals else F.lit(False))
     if first:
         rows = rows.filter(F.col("ingest_date") >= F.lit(first).cast("date"))
     if last:

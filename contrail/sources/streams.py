@@ -36,6 +36,11 @@ def read_stream(
     return rows if "processed_at" in rows.columns else rows.withColumn("processed_at", F.current_timestamp())
 
 
+def flush_options(rows: int, delay: str) -> dict[str, str]:
+    """Options of a topic source whose batches start at `rows` new messages or after `delay`, whichever comes first."""
+    return {"minOffsetsPerTrigger": str(rows), "maxTriggerDelay": delay}
+
+
 def read_messages(
     spark: SparkSession,
     kind: str,

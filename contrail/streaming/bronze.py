@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from contrail.sources.streams import read_messages
+from contrail.sources.streams import flush_options, read_messages
 
 # Fixed value: time between flushes of the landing job.
 FLUSH_INTERVAL = "300 seconds"
+# Text form of times in landed files; the default one cuts them to milliseconds.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# How often a topic is asked whether enough messages wait for a flush.
+POLL_INTERVAL = "5 seconds"
 
 
 def write_bronze_stream(
@@ -25,9 +29,11 @@ def write_bronze_stream(
     the source has handed out its rows and then stops. Offsets and files are committed together,
     so a failed flush is repeated and not lost.
     """
-    landed = df.withColumn("ingest_date", F.to_date(F.current_timestamp()))
+    arrived = F.col("landed_at") if "landed_at" in df.columns else F.current_timestamp()
+    landed = df.withColumn("ingest_date", F.to_date(arrived))
     writer = (
         landed.writeStream.format(fmt)
+        .option("timestampFormat", MICROSECONDS)
         .option("checkpointLocation", checkpoint)
         .partitionBy("ingest_date")
         .outputMode("append")
@@ -44,13 +50,19 @@ def land_topic(
     checkpoint: str,
     interval: str | None = FLUSH_INTERVAL,
     max_rows: int | None = None,
+    flush_rows: int | None = None,
 ) -> StreamingQuery:
     """Land a topic's messages as they were received. Needs the Kafka connector.
 
+    With `flush_rows` a flush comes as soon as so many messages wait, or after `interval` with those there are.
+
     A flush takes all that has arrived, so a backlog clears; `max_rows` caps a flush, and
     with it the pace, and is for a source that must be spared.
     """
     options = {"kafka.bootstrap.servers": servers}
+    if flush_rows and interval:
+        options |= flush_options(flush_rows, interval)
+        interval = POLL_INTERVAL
     return land(read_messages(spark, "kafka", topic, max_rows, options), path, checkpoint, interval)
 
 

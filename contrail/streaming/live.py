@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -54,10 +55,13 @@ _STATE = T.StructType(
     ]
 )
 
+_VERSION = T.StructType([T.StructField("version", T.LongType())])
+
 LIVE = T.StructType(
     [
         T.StructField("icao24", T.StringType()),
         T.StructField("status", T.StringType()),
+        T.StructField("version", T.LongType()),
         T.StructField("time_position", T.LongType()),
         T.StructField("callsign", T.StringType()),
         T.StructField("latitude", T.DoubleType()),
@@ -116,7 +120,8 @@ class LiveTracker(StatefulProcessor):
     """Holds the newest eleven reports of an aircraft: ten for the trail, one for the trend.
 
     Rows of a batch are cut to eleven as they come in, so a busy aircraft needs no more
-    memory than a quiet one, and their order does not matter.
+    memory than a quiet one, and their order does not matter. Every row that it hands out has the
+    aircraft's next version, which outlives the track: one number an address, of which there are 2^24.
     """
 
     def __init__(self, silence: int):
@@ -125,9 +130,12 @@ class LiveTracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("reports", _STATE)
+        self.version = handle.getValueState("version", _VERSION)
 
     def _row(self, key, status: str, rows: list[tuple]) -> pd.DataFrame:
-        out = dict(zip(REPORT, rows[-1])) | {"icao24": key[0], "status": status, "trend": trend(rows)}
+        version = (self.version.get() or (0,))[0] + 1
+        self.version.update((version,))
+        out = dict(zip(REPORT, rows[-1])) | {"icao24": key[0], "status": status, "trend": trend(rows), "version": version}
         out["trail"] = [
             {"time_position": row[0], "latitude": row[1], "longitude": row[2]} for row in rows[-TRAIL_POINTS:]
         ]
@@ -167,6 +175,8 @@ def track_live(
 ) -> DataFrame:
     """Current state of each aircraft whenever it reports, and a last row when it falls silent.
 
+    `version` counts an aircraft's rows, so of several the highest is the newest (`current`), also
+    where a late report changed the trail alone; rows of status `expired` are ended tracks (`expired`).
     Time is event time: `silence` seconds without a report end a track, and a report after
     that starts a new one. A late report takes its place in the trail. Needs the RocksDB state
     store.
@@ -184,3 +194,14 @@ def track_live(
         )
     )
     return with_distance(tracked, centre)
+
+
+def current(rows: DataFrame) -> DataFrame:
+    """The newest row of each aircraft, of rows that `track_live` has written; its status says if the track goes on."""
+    newest = Window.partitionBy("icao24").orderBy(F.desc("version"))
+    return rows.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+
+
+def expired(rows: DataFrame) -> DataFrame:
+    """The last state of every track that has ended."""
+    return rows.filter(F.col("status") == "expired")

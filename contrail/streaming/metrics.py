@@ -5,8 +5,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from contrail.operators import clean
 
@@ -72,3 +73,41 @@ def reject_rate(raw: DataFrame, as_of: str | Column, minutes: int = 5, lateness:
             (F.col("rejects") / F.lit(minutes * 60.0)).alias("per_second"),
         )
     )
+
+
+class QualityListener(StreamingQueryListener):
+    """Appends the figures that `observe_quality` attached to a stream to the table at `path`, a row per batch."""
+
+    def __init__(self, spark: SparkSession, path: str, name: str = "quality"):
+        self.spark, self.path, self.name = spark, path, name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(self.name)
+        if seen is None:
+            return
+        figures = seen.asDict()
+        schema = ", ".join(["query string", "batch long", "at string", *[f"{name} long" for name in figures]])
+        row = (str(progress.id), progress.batchId, progress.timestamp, *figures.values())
+        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def batch_figures(spark: SparkSession, path: str) -> DataFrame:
+    """What a `QualityListener` has written, one row per query and batch; a batch that was told of twice counts once."""
+    return spark.read.parquet(path).dropDuplicates(["query", "batch"])
+
+
+def summed(figures: DataFrame) -> DataFrame:
+    """Figures of all batches together, in the columns of `quality_metrics`."""
+    counts = [name for name in figures.columns if name not in ("query", "batch", "at", "lag_seconds")]
+    totals = figures.agg(*[F.sum(name).alias(name) for name in counts], F.max("lag_seconds").alias("lag_seconds"))
+    return totals.withColumn("lag_band", lag_band(F.col("lag_seconds")))
