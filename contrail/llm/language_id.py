@@ -115,6 +115,11 @@ class Profiles:
         return self.languages[best], float(1 - distance[best] / (self.length * len(own)))
 
 
+def drawn(draw: Column, count: Column, sample: int) -> Column:
+    """Is a 30-bit draw among about `sample` of `count`? Divided and not multiplied, so that no count overflows."""
+    return draw <= F.call_function("div", F.lit((sample << 30) - 1), count)
+
+
 def learn(
     labelled: DataFrame,
     id_col: str = "doc_id",
@@ -134,7 +139,7 @@ def learn(
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = rows.groupBy("lang").count()
     draw = F.pmod(F.xxhash64(F.lit("profile"), "id"), F.lit(1 << 30))
-    some = rows.join(F.broadcast(counts), "lang").filter(draw * F.col("count") < F.lit(sample << 30))
+    some = rows.join(F.broadcast(counts), "lang").filter(drawn(draw, F.col("count"), sample))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -4,6 +4,8 @@ import random
 from collections import Counter
 from zlib import crc32
 
+from pyspark.sql import functions as F
+
 from contrail.llm import language_id
 from contrail.llm.language_id import Profiles, count_grams
 
@@ -114,3 +116,11 @@ def test_known_language_has_a_limit_from_the_labels(spark):
 def test_known_language_without_labels_keeps_all(spark):
     frame = spark.createDataFrame([(1, "some text", None, ""), (2, None, None, ""), (3, "12", None, "")], SCHEMA)
     assert sorted(r.doc_id for r in language_id.known_language(frame).collect()) == [1, 2, 3]
+
+
+def test_counts_of_any_size_can_be_drawn_from(spark):
+    rows = [(d, n) for n in (1, 7, 2000, 2001, 20_000, 10**11) for d in (0, 1, 21, 22, (1 << 30) - 1, (2000 << 30) // 2001, 107374182, 107374183)]
+    frame = spark.createDataFrame(rows, "draw long, n long")
+    got = frame.select("draw", "n", language_id.drawn(F.col("draw"), F.col("n"), 2000).alias("yes")).collect()
+    assert all(r.yes == (r.draw * r.n < 2000 << 30) for r in got)
+    assert {r.yes for r in got} == {True, False}
