@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import sys
@@ -123,7 +125,19 @@ class Encoder:
                 del known[key]
 
 
+def give_back() -> None:
+    """Return to the system what a worker's earlier tasks have freed; Arrow and the C library keep it otherwise."""
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, byte_level: bool) -> Encoder:
-    """One encoder for all tasks of a worker."""
+    """One encoder for all tasks of a worker, which makes room for its words first."""
+    give_back()
     return Encoder(path, byte_level)
