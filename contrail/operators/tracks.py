@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import filter_plausible_time, filter_since, filter_valid_coords
-from contrail.plans.pieces import with_key_max, with_previous
+from contrail.plans.pieces import with_previous
 
 # Anomaly limits in metres and metres per second.
 ALTITUDE_JUMP = 2000
@@ -74,9 +76,20 @@ def fact_positions(df: DataFrame) -> DataFrame:
 # --- motion ----------------------------------------------------------------
 
 
-def motion_deltas(df: DataFrame) -> DataFrame:
-    """Absolute altitude and speed change and seconds since the aircraft's previous report."""
-    rows = filter_plausible_time(filter_valid_coords(df))
+def _needed(df: DataFrame, needed: Sequence[str], keep: Sequence[str] | None) -> DataFrame:
+    """The aircraft, its day and time, `needed` and `keep`, in the order of `df`; all columns if `keep` is None."""
+    if keep is None:
+        return df
+    names = {"icao24", "partition_date", "time_position", *needed, *keep}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in names])
+
+
+def motion_deltas(df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """Absolute altitude and speed change and seconds since the aircraft's previous report.
+
+    Of other columns, `keep` goes along (all, if None). Who names those that are used has `df` read once.
+    """
+    rows = _needed(filter_plausible_time(filter_valid_coords(df)), ["baro_altitude", "velocity"], keep)
     linked = with_previous(
         rows, ["baro_altitude", "velocity", "time_position"], totals={"reports": F.count(F.lit(1))}
     )
@@ -91,6 +104,21 @@ def motion_deltas(df: DataFrame) -> DataFrame:
 
 def detect_anomalies(df: DataFrame) -> DataFrame:
     """One row per rule a report breaks; aircraft with a single report are skipped."""
+    return _anomalies(df, ["callsign", "latitude", "longitude", "event_time"]).select(
+        "icao24",
+        "callsign",
+        "anomaly_type",
+        "detail",
+        "baro_altitude",
+        "velocity",
+        "latitude",
+        "longitude",
+        "event_time",
+    )
+
+
+def _anomalies(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The findings with the columns that they rest on and `keep`."""
 
     def finding(kind: str, detail: Column) -> Column:
         return F.struct(F.lit(kind).alias("anomaly_type"), detail.alias("detail"))
@@ -116,18 +144,9 @@ def detect_anomalies(df: DataFrame) -> DataFrame:
         ),
     ]
     return (
-        motion_deltas(df)
+        motion_deltas(df, keep)
         .filter(F.col("reports") >= 2)
-        .select(
-            "icao24",
-            "callsign",
-            F.inline(F.array_compact(F.array(*rules))),
-            "baro_altitude",
-            "velocity",
-            "latitude",
-            "longitude",
-            "event_time",
-        )
+        .select("icao24", "baro_altitude", "velocity", *keep, F.inline(F.array_compact(F.array(*rules))))
     )
 
 
@@ -139,7 +158,7 @@ def anomaly_counts(df: DataFrame) -> DataFrame:
         "speed_changes": "Speed Anomaly",
         "low_fast": "Low-Alt High-Speed",
     }
-    counted = detect_anomalies(df).agg(
+    counted = _anomalies(df, []).agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col("anomaly_type") == kind).alias(name) for name, kind in kinds.items()],
     )
@@ -150,9 +169,14 @@ def anomaly_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def altitude_trend(df: DataFrame, threshold: float = TREND_METRES) -> DataFrame:
-    """`up`, `down` or `=` against the aircraft's previous report; `=` if either is unknown."""
-    linked = with_previous(df, ["baro_altitude"])
+def altitude_trend(
+    df: DataFrame, threshold: float = TREND_METRES, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """`up`, `down` or `=` against the aircraft's previous report; `=` if either is unknown.
+
+    `keep` as in `motion_deltas`.
+    """
+    linked = with_previous(_needed(df, ["baro_altitude"], keep), ["baro_altitude"])
     now, before = F.col("baro_altitude"), F.col("prev_baro_altitude")
     trend = (
         F.when(now > before + threshold, F.lit("up"))
@@ -189,10 +213,16 @@ def paths_of(df: DataFrame, aircraft: DataFrame) -> DataFrame:
     return filter_valid_coords(df).join(aircraft.select("icao24"), "icao24", "left_semi")
 
 
-def path_segments(df: DataFrame) -> DataFrame:
-    """Lines between consecutive placed reports; altitude of the later one, 0 if unknown."""
-    linked = with_previous(filter_valid_coords(df), ["longitude", "latitude"])
-    return linked.filter("has_prev").select(
+def _segments(df: DataFrame, tops: dict[str, str] | None = None) -> DataFrame:
+    placed = filter_valid_coords(df).select(
+        "icao24",
+        "time_position",
+        "partition_date",
+        "longitude",
+        "latitude",
+        F.coalesce("baro_altitude", F.lit(0.0)).alias("altitude"),
+    )
+    return with_previous(placed, ["longitude", "latitude"], tops=tops).filter("has_prev").select(
         "icao24",
         "time_position",
         "partition_date",
@@ -200,13 +230,19 @@ def path_segments(df: DataFrame) -> DataFrame:
         F.col("prev_latitude").alias("source_lat"),
         F.col("longitude").alias("target_lng"),
         F.col("latitude").alias("target_lat"),
-        F.coalesce("baro_altitude", F.lit(0.0)).alias("altitude"),
+        "altitude",
+        *(tops or {}),
     )
 
 
+def path_segments(df: DataFrame) -> DataFrame:
+    """Lines between consecutive placed reports; altitude of the later one, 0 if unknown."""
+    return _segments(df)
+
+
 def segment_colours(df: DataFrame) -> DataFrame:
     """Segments coloured from green (low) to red (the aircraft's highest)."""
-    segments = with_key_max(path_segments(df), "altitude", "max_altitude")
+    segments = _segments(df, {"max_altitude": "altitude"})
     share = F.col("altitude") / F.greatest("max_altitude", F.lit(1.0))
 
     def channel(value: Column) -> Column:

@@ -82,7 +82,7 @@ def _(p: Inputs):
 
 @query("motion_deltas", BASE + MOTION + "select event_id, icao24, alt_change, speed_change, time_diff, reports from steps")
 def _(p: Inputs):
-    return tracks.motion_deltas(p.silver).select(
+    return tracks.motion_deltas(p.silver, ["event_id"]).select(
         "event_id", "icao24", "alt_change", "speed_change", "time_diff", "reports"
     )
 
@@ -108,7 +108,7 @@ def _(p: Inputs):
     when baro_altitude < before - 10 then 'down' else '=' end as trend
   from (select *, lag(baro_altitude) over (partition by icao24 order by time_position) as before from kept)""")
 def _(p: Inputs):
-    return tracks.altitude_trend(p.silver).select("event_id", "icao24", "baro_altitude", "trend")
+    return tracks.altitude_trend(p.silver, keep=["event_id"]).select("event_id", "icao24", "baro_altitude", "trend")
 
 
 # Coordinates have three decimals, so thousandths write them out exactly.

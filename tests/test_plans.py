@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail.plans import skew
-from contrail.plans.pieces import with_key_max, with_previous
+from contrail.plans.pieces import with_previous
 
 
 @pytest.fixture(scope="module")
@@ -35,12 +35,46 @@ def test_with_previous(lopsided):
     assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr)
 
 
-def test_with_key_max(lopsided):
-    expected = lopsided.withColumn("top", F.max("v").over(Window.partitionBy("icao24")))
-    got = with_key_max(lopsided, "v", "top").select(*expected.columns)
+def test_key_maximum_of_rows_with_a_previous_one(lopsided):
+    # The highest value of a key may be in its first row, which doesn't count, or its only one.
+    rows = lopsided.union(lopsided.sparkSession.sql("SELECT 'one', 5L, DATE '1970-01-01', 9e9D"))
+    firsts = lopsided.groupBy("icao24").agg(F.min("time_position").alias("t"))
+    rows = rows.join(firsts, "icao24", "left").withColumn("v", F.when(F.expr("t = time_position"), 1e6).otherwise(F.col("v"))).drop("t")
+    key = Window.partitionBy("icao24")
+    marked = rows.withColumn("later", F.col("time_position") > F.min("time_position").over(key))
+    expected = marked.withColumn("top", F.max(F.when(F.col("later"), F.col("v"))).over(key)).drop("later")
+    got = with_previous(rows, ["v"], tops={"top": "v"}).select(*expected.columns)
     assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr)
 
 
+@pytest.mark.parametrize("joins", ["broadcast", "sorted"])
+def test_motion_and_paths_read_their_input_once(spark, tmp_path, joins):
+    from contrail.operators import tracks
+    from contrail.sinks import tables
+    from contrail.sources import testbed
+
+    tables.write_silver(testbed.silver_positions(spark, "/root/testdata/sf0.001"), str(tmp_path / "s"))
+    silver = spark.read.parquet(str(tmp_path / "s"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if joins == "sorted" else "10m")
+    try:
+        for frame in [
+            tracks.motion_deltas(silver, ["event_id"] if "event_id" in silver.columns else []),
+            tracks.detect_anomalies(silver),
+            tracks.anomaly_counts(silver),
+            tracks.altitude_trend(silver, keep=["callsign"]).select("icao24", "callsign", "time_position", "baro_altitude", "trend"),
+            tracks.path_segments(silver),
+            tracks.segment_colours(silver),
+        ]:
+            frame.collect()
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            final = text.split("== Initial Plan ==")[0]
+            assert final.count("FileScan") == 1, final
+            assert "ReusedExchange" in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_salted_join(spark, lopsided, monkeypatch):
     monkeypatch.setattr(skew, "HOT_ROWS", 100)
     monkeypatch.setattr(skew, "MAX_HOT", 100)
