@@ -50,6 +50,27 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3)
     )
 
 
+def keyed(
+    docs: DataFrame, size: Column, own: Column, id_col: str = "doc_id", source_col: str = "source", seed: str = "mix"
+) -> DataFrame:
+    """(row, size, _source, _key, _range): rows with their random key and the range that it falls in.
+
+    The key also takes size and `own`, a hash of the text, so that rows of one id, however many, fall in all ranges.
+    """
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(
+        row.alias("row"),
+        size.alias("size"),
+        code_point_key(F.col(source_col)).alias("_source"),
+        F.md5(F.concat_ws(":", name, F.lit(seed), size.cast("string"), own)).alias("_key"),
+    ).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
+
+
+def text_hash(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def mix(
     docs: DataFrame,
     size: Column,
@@ -58,34 +79,29 @@ def mix(
     weights: Sequence[int] = (1, 2, 3),
     most: int = 3,
     seed: str = "mix",
+    own: Column | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: (row, size, source_size, target, taken).
 
     `row` is the input row as a struct. Rows of a source are put in order of a random key (a hash
-    of id and seed). The source's whole budget, floor(target), is dealt out exactly: every row as
+    of id, seed, size and `own`, which is for what else tells rows of one id apart). The source's whole budget, floor(target), is dealt out exactly: every row as
     often as the source fits in it, and what is left to the first rows of the order, of which
     the last may be taken in part. Null ids and null sources are values like others (a null
     source comes last); equal ids follow their size. An empty table gives no rows.
 
-    A source of any share of the rows is split by the leading digits of the key. Sums by source
+    A source or an id of any share of the rows is split by the leading digits of the key; only rows
+    alike in id, size and `own` share a range. Sums by source
     and range make the prefix of each range, and a window within the range the rest.
     """
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = docs.select(
-        row.alias("row"),
-        size.alias("size"),
-        code_point_key(F.col(source_col)).alias("_source"),
-        F.md5(F.concat(name, F.lit(f":{seed}"))).alias("_key"),
-    ).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
-    ranges = stored(keyed.groupBy("_source", "_range").agg(F.sum("size").alias("_sum")), "mix-ranges")
+    rows = keyed(docs, size, F.lit("") if own is None else own, id_col, source_col, seed)
+    ranges = stored(rows.groupBy("_source", "_range").agg(F.sum("size").alias("_sum")), "mix-ranges")
     goals = targets(ranges.groupBy("_source").agg(F.sum("_sum").alias("source_size")), weights, most)
     earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # At most 16 ** RANGE_DIGITS rows of a source.
     starts = ranges.select("_source", "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
     starts = starts.join(goals, "_source")
     within = Window.partitionBy("_source", "_range").orderBy("_key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = rows.withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     budget = F.floor("target")
     left = budget % F.col("source_size")
     first = F.least(F.greatest(left - F.col("_start") - F.col("_before"), F.lit(0)), F.col("size"))
@@ -112,7 +128,8 @@ def mixed(
     A document taken in part is cut after the last word taken; a number of characters in a column
     `n_chars` follows its text. Documents of which no word is taken, those without words too, go.
     """
-    marked = mix(docs, words(F.col(text_col)), id_col, source_col, weights, most).filter("taken > 0")
+    text = F.col(text_col)
+    marked = mix(docs, words(text), id_col, source_col, weights, most, own=text_hash(text)).filter("taken > 0")
     copy = F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int")))
     copies = marked.withColumn("_copy", copy).withColumn("_words", F.col("taken") - F.col("_copy") * F.col("size"))
     out = copies.select("row.*", F.col("_words") < F.col("size"), "_words").toDF(
@@ -129,8 +146,8 @@ def mixed(
 
 def op1(docs: DataFrame) -> DataFrame:
     """The query's columns, for every row of `docs`."""
-    sized = stored(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "mix-sizes")
-    marked = mix(sized, F.col("size"))
+    sized = stored(docs.select("doc_id", "source", words(F.col("text")).alias("size"), text_hash(F.col("text")).alias("hash")), "mix-sizes")
+    marked = mix(sized, F.col("size"), own=F.col("hash"))
     return marked.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
@@ -138,7 +155,7 @@ OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS src,
-         md5(coalesce(doc_id::VARCHAR, '') || ':mix') AS k
+         md5(coalesce(doc_id::VARCHAR, '') || ':mix:' || size || ':' || md5(coalesce(text, ''))) AS k
   FROM documents
 ),
 sources AS (

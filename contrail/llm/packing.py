@@ -159,17 +159,22 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
+def ranged(parts: DataFrame) -> DataFrame:
+    """`parts` with a range of a hash of each row and its place in the input, so that rows alike, however many, fall in all."""
+    place = F.monotonically_increasing_id()
+    return parts.withColumn("_range", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", place), F.lit(RANGES)).cast("int"))
+
+
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`parts` (columns of `pieces`) with sequence_id and offset.
 
     Only the number of pieces by length reaches the driver. Pieces of a length are numbered by a
-    window for each range of a hash, so a length that a third of them share is split.
+    window for each range of a hash, so a length or an id that a third of them share is split. The ranges are
+    stored with the rows, so that a task that runs again sees the same.
     No piece may be longer than `capacity`. An empty table gives no rows; pieces that are alike in all
     columns get a place each.
     """
-    parts = stored(parts, "pieces").withColumn(
-        "_range", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANGES)).cast("int")
-    )
+    parts = stored(ranged(parts), "pieces")
     ranges = stored(parts.groupBy("length", "_range").agg(F.count(F.lit(1)).alias("_n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in ranges.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     planned = parts.sparkSession.createDataFrame(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby, repeat
 from zlib import crc32
 
 import numpy as np
@@ -39,6 +40,13 @@ def _blocks(docs: Iterator[tuple[int | None, bytes]]) -> Iterator[tuple[list, li
         yield names, ids
 
 
+def _encoded(encode: Callable[[Iterable[str]], Iterator[bytes]], texts: Iterable[str]) -> Iterator[bytes]:
+    """Ids of each text; texts that repeat one after the other are encoded once."""
+    runs = [(text, len(list(same))) for text, same in groupby(texts)]
+    for (_, n), ids in zip(runs, encode(text for text, _ in runs)):
+        yield from repeat(ids, n)
+
+
 def write(
     docs: DataFrame,
     path: str,
@@ -49,25 +57,31 @@ def write(
 ) -> None:
     """Writes the ids of every document, each with `end_id` after it, in ascending order of id.
 
-    Null ids come first, and rows of one id in order of a hash of their text; a null text is an empty
-    one. An empty table writes no block. A task that is run again writes the same blocks.
+    Null ids come first, and rows of one id in order of a hash of their text, then of their place in the
+    input, so that rows alike are split over tasks too; a null text is an empty one. An empty table writes no
+    block. A task that is run again writes the same blocks.
     """
     tokenizer = tokenizer or tokenizer_path(TOKENIZER)
     end = end_id.to_bytes(4, "little")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    order = ["id", "tie", "text"]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        text.alias("text"),
+        F.xxhash64(text).alias("tie"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    order = ["id", "tie", "row"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer, byte_level=False).encode
         part = TaskContext.get().partitionId()
-        docs = ((None if pd.isna(d) else int(d), x + end) for f in frames for d, x in zip(f["id"], encode(f["text"])))
+        docs = ((None if pd.isna(d) else int(d), x + end) for f in frames for d, x in zip(f["id"], _encoded(encode, f["text"])))
         for block, (names, ids) in enumerate(_blocks(docs)):
             joined = np.frombuffer(b"".join(ids), "<u4")
             row = (part, block, len(joined), names, [len(x) // 4 for x in ids], coder.encode(joined))
             yield pd.DataFrame([row], columns=["part", "block", "n_ids", "doc_ids", "lengths", "ids"])
 
-    ranged = rows.repartitionByRange("id", "tie").sortWithinPartitions(*order)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.mapInPandas(run, BLOCKS).write.parquet(path)
 
 

@@ -99,3 +99,13 @@ def test_the_mix_itself(spark):
         assert sum(own) == r.taken
         assert all(n == r.size for n in own[:-1])
     assert sum(floor(r.taken / r.size) for r in marked.values() if r.size) > 0
+
+
+def test_rows_of_one_id_fall_in_all_ranges(spark):
+    rows = [(0 if i % 3 else i, f"w{i} " * (i % 4), "hot", None, None, None) for i in range(30_000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marked = mixing.keyed(docs, mixing.words(F.col("text")), mixing.text_hash(F.col("text")))
+    some = marked.withColumn("_range", F.substring("_range", 1, 1)).groupBy("_range").count().collect()
+    # Empty texts of the one id are alike: a sixth of all rows.
+    assert len(some) == 16 and sorted(r["count"] for r in some)[-2] < 3000
+    assert mixing.op1(docs).agg(F.sum("taken")).first()[0] == mixing.op1(docs).agg(F.sum("size")).first()[0]

@@ -143,3 +143,11 @@ def test_whole_table(spark):
     got = packing.op4(docs)
     used = got.agg(F.countDistinct("sequence_id"), F.sum("length")).first()
     assert used[0] <= -(-used[1] // 1024) * 1.01 + 1
+
+
+def test_pieces_alike_fall_in_all_ranges(spark):
+    rows = spark.range(30_000, numPartitions=4).selectExpr("if(id % 3 = 0, 7, id) AS doc_id", "0 AS piece", "0L AS start", "5L AS length", "1L AS ids_crc32")
+    assert packing.ranged(rows).groupBy("_range").count().agg({"count": "max"}).first()[0] < 60
+    got = packing.pack(rows)
+    assert got.count() == 30_000
+    assert got.groupBy("sequence_id", "offset").count().filter("count > 1").count() == 0

@@ -85,3 +85,16 @@ def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(map(tuple, token_store.op8(docs).collect())) == plain(rows)
+
+
+def test_rows_alike_are_split(spark):
+    rows = spark.range(6000, numPartitions=4).selectExpr("if(id % 3 < 2, 7, id) AS doc_id", "if(id % 3 < 2, 'same words', 'w' || id) AS text")
+    path = scratch(spark, "hot-ids")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_store.write(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = token_store.read(spark, path).groupBy("part").count().collect()
+    assert sum(r["count"] for r in parts) == 6000 and max(r["count"] for r in parts) < 2000
+    assert token_store.digests(spark, path).select("start").distinct().count() == 6000
