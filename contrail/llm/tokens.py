@@ -10,14 +10,22 @@ import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Each worker remembers the ids of at most so many words, none longer than MAX_WORD characters.
 # When full it starts afresh, which changes no result.
-MAX_WORDS = 1_200_000
+MAX_WORDS = 800_000
 MAX_WORD = 64
-# Texts that are split at a time.
-AT_ONCE = 128
+# Texts are split so many at a time, fewer where they have so many characters.
+AT_ONCE = 512
+AT_ONCE_CHARACTERS = 4_000_000
+# New words that are encoded as one text.
+TOGETHER = 256
+# Stands before a text's first word; `odd` texts alone have it.
+FIRST = "\x1c"
 
 # Control characters and white space beyond ASCII that versions of Unicode see differently, and
 # what special tokens begin with. Texts that have any are encoded in one piece.
@@ -29,8 +37,9 @@ SPACED = ("\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
 # A byte-level tokenizer puts one blank with the word after it, and of more white space all
 # but the last character on its own.
 BYTE_LEVEL = re.compile(r" ?[^\t-\r ]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
-# A word of letters that any version of Unicode calls so, with a line end before it or a mark after it.
-PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# A word of letters that any version of Unicode calls so, with a line end before it or marks after it. An
+# apostrophe is none: with the letters after it, it may be a part of its own.
+PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -50,6 +59,16 @@ def odd(text: str) -> bool:
     return any(x in text for x in (ODD_ASCII if text.isascii() else ODD))
 
 
+def _lower(text: str) -> str:
+    """Lower case where any version of Unicode has the same, the text as it is elsewhere."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -66,71 +85,126 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = byte_level
         self.known: dict[str, bytes] = {}
+        # What is put between words of letters: its id is in none of them.
+        self.between = "\n" if byte_level else " . "
+        (self.mark,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Each text in one piece."""
         return [_packed(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keys(self, text: str) -> list[str]:
+    def _split(self, texts: list[str], spaced: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(keys, number of each part's key, number of parts before each text and after the last)."""
         if not self.byte_level:
-            return text.split()
-        if any(x in text for x in SPACED):
-            return [p[1:] if p[0] == " " and p[1:].strip() else f" {p}" for p in BYTE_LEVEL.findall(text)]
-        keys = text.replace("\n", " \n").split(" ")
-        keys[0] = f" {keys[0]}"
-        return keys
+            lists = pc.ascii_split_whitespace(pa.array(map(_lower, texts), pa.large_string()))
+        elif spaced:
+            lists = pa.array(map(self._spaced, texts), pa.list_(pa.large_string()))
+        else:
+            marked = [FIRST + text.replace("\n", " \n") for text in texts]
+            lists = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        parts = lists.flatten().dictionary_encode()
+        keys = pc.replace_substring(parts.dictionary, FIRST, " ").to_pylist()
+        return keys, parts.indices.to_numpy(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+
+    @staticmethod
+    def _spaced(text: str) -> list[str]:
+        return [p[1:] if p[0] == " " and p[1:].strip() else f" {p}" for p in BYTE_LEVEL.findall(text)]
 
     def _part(self, key: str) -> str:
         if not self.byte_level or key[:1] == "\n":
             return key
         return key[1:] if key[:1] == " " else f" {key}"
 
-    def _learn(self, keys: set[str]) -> None:
-        """Ids of new keys; those of a word with a mark or a line end are put together."""
-        known, composed, new = self.known, [], set()
+    def _letters(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, with a blank before them or none; many are encoded as one text."""
+        texts = [words[start : start + TOGETHER] for start in range(0, len(words), TOGETHER)]
+        joined = [self.between.join(some) for some in texts]
+        for some, found in zip(texts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark).tolist()
+            if len(ends) != len(some) - 1:
+                raise ValueError("the tokenizer has no token of its own for what stands between words")
+            ids = ids.tobytes()
+            yield from (ids[4 * a : 4 * b] for a, b in zip([0, *(x + 1 for x in ends)], [*ends, len(ids) // 4]))
+
+    def _learn(self, keys: set[str]) -> list[str]:
+        """Learns the ids of new keys; those of a word with marks or a line end are put together. Returns the long parts."""
+        known, composed, letters, others = self.known, [], set(), set()
         blank = " " if self.byte_level else ""
         for key in keys:
             plain = PLAIN.fullmatch(key)
+            if not plain:
+                others.add(key)
+                continue
+            before, word, marks = plain.groups()
             # A word tokenizer lower-cases, so it has the same ids for a word in any case.
-            letters = plain and (plain[2] if self.byte_level else plain[2].lower())
-            if plain and (plain[1] == "\n" or plain[3] or letters != plain[2]):
-                parts = [f"{blank}{x}" for x in ("\n",) if plain[1] == x]
-                parts.append((blank if plain[1] else "") + letters)
-                parts += [f"{blank}{x}" for x in (plain[3],) if x]
-                composed.append((key, parts))
-                new.update(x for x in parts if x not in known)
-            else:
-                new.add(key)
-        new = list(new)
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
+            own = (blank if before else "") + (word if self.byte_level else word.lower())
+            if own not in known:
+                letters.add(own)
+            if own != key:
+                line, marks = blank + "\n" if before == "\n" else None, blank + marks if marks else None
+                composed.append((key, line, own, marks))
+                others.update(x for x in (line, marks) if x and x not in known)
+        words, others = list(letters), list(others)
+        known.update(zip(words, self._letters([self._part(k) for k in words])))
+        for start in range(0, len(others), 4096):
+            some = others[start : start + 4096]
             known.update(zip(some, self.whole([self._part(k) for k in some])))
-        for key, parts in composed:
-            known[key] = b"".join([known[x] for x in parts])
+        for key, line, own, marks in composed:
+            known[key] = (known[line] if line else b"") + known[own] + (known[marks] if marks else b"")
+        return [k for k in (*words, *others) if len(k) > MAX_WORD]
+
+    def _joined(self, texts: list[str], spaced: bool) -> Iterator[bytes]:
+        """Ids of texts that are not odd, by their parts."""
+        keys, parts, before = self._split(texts, spaced)
+        known = self.known
+        new = {key for key in keys if key not in known}
+        if len(known) + len(new) > MAX_WORDS:
+            known.clear()
+            new = set(keys)
+        long = self._learn(new)
+        found = [known[key] for key in keys]
+        for key in [k for k in new if len(k) > MAX_WORD] + long:
+            known.pop(key, None)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        n = sizes[parts]
+        ends = np.append(0, np.cumsum(n))
+        # Where each id of each part lies among the ids of the keys.
+        place = np.repeat((np.cumsum(sizes) - sizes)[parts] - ends[:-1], n)
+        place += np.arange(len(place))
+        ids = ids[place]
+        bounds = ends[before].tolist()
+        yield from (ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:]))
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text, in order."""
-        texts = iter(texts)
-        while some := list(islice(texts, AT_ONCE)):
-            split = [None if odd(text) else self._keys(text) for text in some]
-            known = self.known
-            new = set().union(*filter(None, split)).difference(known)
-            if len(known) + len(new) > MAX_WORDS:
-                known.clear()
-                new = set().union(*filter(None, split))
-            self._learn(new)
-            for text, keys in zip(some, split):
-                yield self.whole([text])[0] if keys is None else b"".join(map(known.__getitem__, keys))
-            for key in [k for k in new if len(k) > MAX_WORD]:
-                del known[key]
+        for some in _some(texts):
+            odds = list(map(odd, some))
+            spaced = [self.byte_level and any(x in text for x in SPACED) for text in some]
+            plain = self._joined([t for t, o, s in zip(some, odds, spaced) if not o and not s], False)
+            other = self._joined([t for t, o, s in zip(some, odds, spaced) if not o and s], True)
+            for text, o, s in zip(some, odds, spaced):
+                yield self.whole([text])[0] if o else next(other if s else plain)
+
+
+def _some(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in order, as many as are split at a time."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if len(some) == AT_ONCE or size >= AT_ONCE_CHARACTERS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 def give_back() -> None:
     """Return to the system what a worker's earlier tasks have freed; Arrow and the C library keep it otherwise."""
-    import pyarrow
-
     gc.collect()
-    pyarrow.default_memory_pool().release_unused()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
     if trim:
         trim(0)

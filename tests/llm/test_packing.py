@@ -28,9 +28,11 @@ def test_ids_by_parts_are_ids_of_the_whole(name, byte_level, monkeypatch):
     own = Encoder(tokenizer_path(name), byte_level)
     texts = ODD_TEXTS + random_texts(20000)
     texts += ["one,two, three.\nFour\n", "ñu. ñu, ñu\nñu", "x,. y.,\n.z", "don't, Don'T.", "a.b, \nc", "Σ, σ. ä́."]
+    texts += ["Été... ÉTÉ&&& (été)", "\nLa===\nla'S.-", "x_y ß* *ß \nÑ%'t", "Abc" * 40 + "," + " " + "b" * 99, "µ ª º, ×x ÷."]
     whole = own.whole(texts)
     for _ in range(2):
         assert list(own.encode(texts)) == whole
+    assert max(map(len, own.known)) <= tokens.MAX_WORD
     monkeypatch.setattr(tokens, "MAX_WORDS", 50)
     assert list(own.encode(texts[:500])) == whole[:500]
 
