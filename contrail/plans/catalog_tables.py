@@ -137,12 +137,16 @@ def _arrival() -> Column:
 
 
 def _arriving(p: Inputs, rows: DataFrame, advance: Callable[[DataFrame], StreamingQuery]) -> str:
-    """Lets `rows` arrive in parts; after each a stream over all files so far takes what is new and stops."""
+    """Lets `rows` arrive in parts; after each a stream over all files so far takes what is new and stops.
+
+    `rows` are computed once, and dealt out evenly: every later step reads those files.
+    """
     folder = scratch(p.spark, "arriving")
+    parted = rows.withColumn("_part", _arrival()).filter(F.col("_part").isin(*range(PARTS)))
+    tables.balanced(parted).write.partitionBy("_part").parquet(folder)
     for part in range(PARTS):
-        rows.filter(_arrival() == part).write.parquet(f"{folder}/{part}")
-        stream = p.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(folder)
-        advance(stream).awaitTermination()
+        stream = p.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true")
+        advance(stream.parquet(f"{folder}/_part=[0-{part}]")).awaitTermination()
     return folder
 
 

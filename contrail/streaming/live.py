@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import sys
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
@@ -40,22 +41,11 @@ _POINTS = T.ArrayType(
     )
 )
 
-_STATE = T.StructType(
-    [
-        T.StructField("time_position", T.ArrayType(T.LongType())),
-        T.StructField("latitude", T.ArrayType(T.DoubleType())),
-        T.StructField("longitude", T.ArrayType(T.DoubleType())),
-        T.StructField("baro_altitude", T.ArrayType(T.DoubleType())),
-        T.StructField("velocity", T.ArrayType(T.DoubleType())),
-        T.StructField("true_track", T.ArrayType(T.DoubleType())),
-        T.StructField("callsign", T.ArrayType(T.StringType())),
-        T.StructField("origin_country", T.ArrayType(T.StringType())),
-        T.StructField("squawk", T.ArrayType(T.StringType())),
-        T.StructField("expiry", T.LongType()),
-    ]
-)
+# Aircraft are dealt to so many groups by a hash of their address; a group's tracks are one value of the state.
+GROUPS = 1024
 
-_VERSION = T.StructType([T.StructField("version", T.LongType())])
+# A list of [icao24, version, expiry, reports] as JSON; a track that has ended has neither expiry nor reports.
+_STATE = T.StructType([T.StructField("tracks", T.StringType()), T.StructField("due", T.LongType())])
 
 LIVE = T.StructType(
     [
@@ -82,20 +72,22 @@ def _rank(row: tuple) -> tuple:
     return tuple((value is not None, value) for value in row)
 
 
-def newest(held: dict[int, tuple], chunk: pd.DataFrame, n: int) -> dict[int, tuple]:
-    """The last `n` distinct seconds of `held` and `chunk`, oldest first.
+def newest(held: dict[int, tuple], rows: Iterable[tuple] | pd.DataFrame, n: int) -> dict[int, tuple]:
+    """The last `n` distinct seconds of `held` and `rows`, oldest first.
 
-    Of several reports of a second the highest by `_rank` counts, so arrival makes no difference.
+    `rows` are tuples in the order of `REPORT`, or a frame with those columns; no more than a few times `n` of them
+    are held. Of several reports of a second the highest by `_rank` counts, so arrival makes no difference.
     """
-    seconds = chunk["time_position"].to_numpy()
-    if len(seconds) > n:
-        chunk = chunk[seconds >= np.unique(seconds)[-n:][0]].drop_duplicates()
-    columns = [[None if value != value else value for value in chunk[name].tolist()] for name in REPORT]
+    if isinstance(rows, pd.DataFrame):
+        rows = zip(*[rows[name].tolist() for name in REPORT])
     merged = dict(held)
-    for row in zip(*columns):
+    for row in rows:
+        row = tuple([None if value != value else value for value in row])
         other = merged.get(row[0])
         if other is None or (row != other and _rank(row) > _rank(other)):
             merged[row[0]] = row
+            if len(merged) > 4 * n:
+                merged = {second: merged[second] for second in sorted(merged)[-n:]}
     return {second: merged[second] for second in sorted(merged)[-n:]}
 
 
@@ -117,11 +109,13 @@ def trend(rows: list[tuple]) -> str:
 
 
 class LiveTracker(StatefulProcessor):
-    """Holds the newest eleven reports of an aircraft: ten for the trail, one for the trend.
+    """Holds the newest eleven reports of each aircraft of a group: ten for the trail, one for the trend.
 
-    Rows of a batch are cut to eleven as they come in, so a busy aircraft needs no more
-    memory than a quiet one, and their order does not matter. Every row that it hands out has the
+    Rows of a batch are cut to eleven an aircraft as they come in, so a busy aircraft needs no more
+    memory than a quiet one, and their order does not matter. Every row that it hands out has its
     aircraft's next version, which outlives the track: one number an address, of which there are 2^24.
+    Calls to the state cost more than an aircraft's few reports do, so they are made once a group and batch: a
+    group has 1 in `GROUPS` of the addresses, and one timer, for the first of its tracks to end.
     """
 
     def __init__(self, silence: int):
@@ -129,39 +123,69 @@ class LiveTracker(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("reports", _STATE)
-        self.version = handle.getValueState("version", _VERSION)
-
-    def _row(self, key, status: str, rows: list[tuple]) -> pd.DataFrame:
-        version = (self.version.get() or (0,))[0] + 1
-        self.version.update((version,))
-        out = dict(zip(REPORT, rows[-1])) | {"icao24": key[0], "status": status, "trend": trend(rows), "version": version}
-        out["trail"] = [
-            {"time_position": row[0], "latitude": row[1], "longitude": row[2]} for row in rows[-TRAIL_POINTS:]
-        ]
-        return pd.DataFrame({name: [out[name]] for name in LIVE.fieldNames()})
+        self.state = handle.getValueState("tracks", _STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _load(self) -> tuple[dict, int | None]:
+        """({icao24: [version, expiry, reports by second]}, the time of the timer)."""
         stored = self.state.get()
-        held = {}
-        if stored:
-            held = {row[0]: row for row in zip(*stored[: len(REPORT)])}
-            self.handle.deleteTimer(stored[-1])
+        if not stored:
+            return {}, None
+        tracks = {}
+        for icao24, version, expiry, rows in json.loads(stored[0]):
+            tracks[icao24] = [version, expiry, {row[0]: tuple(row) for row in rows}]
+        return tracks, stored[1]
+
+    def _store(self, tracks: dict) -> int | None:
+        """When the first of the tracks ends."""
+        due = min((expiry for _, expiry, _ in tracks.values() if expiry is not None), default=None)
+        whole = [[icao24, version, expiry, list(held.values())] for icao24, (version, expiry, held) in tracks.items()]
+        self.state.update((json.dumps(whole), due))
+        return due
+
+    def _rows(self, tracks: dict, chosen: Iterable[str | None], status: str) -> pd.DataFrame:
+        """The next version of each of the `chosen` aircraft."""
+        out = []
+        for icao24 in chosen:
+            tracks[icao24][0] += 1
+            rows = unbroken(list(tracks[icao24][2].values()), self.silence)
+            row = dict(zip(REPORT, rows[-1])) | {"icao24": icao24, "status": status, "trend": trend(rows)}
+            trail = [{"time_position": r[0], "latitude": r[1], "longitude": r[2]} for r in rows[-TRAIL_POINTS:]]
+            out.append(row | {"version": tracks[icao24][0], "trail": trail})
+        return pd.DataFrame({name: [row[name] for row in out] for name in LIVE.fieldNames()})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        tracks, timer = self._load()
+        touched = {}
         for chunk in rows:
-            held = newest(held, chunk, TRAIL_POINTS + 1)
-        current = unbroken(list(held.values()), self.silence)
-        expiry = (current[-1][0] + self.silence) * 1000
-        expiry = max(expiry, timerValues.getCurrentWatermarkInMs() + 1)
-        # What came before a silence is held too: a late report may yet fill it.
-        self.state.update((*[list(column) for column in zip(*held.values())], expiry))
-        self.handle.registerTimer(expiry)
-        yield self._row(key, "live", current)
+            came = defaultdict(list)
+            for icao24, *row in zip(*[chunk[name].tolist() for name in ("icao24", *REPORT)]):
+                came[icao24].append(row)
+            for icao24, some in came.items():
+                track = tracks.setdefault(icao24, [0, None, {}])
+                track[2] = newest(track[2], some, TRAIL_POINTS + 1)
+            touched |= dict.fromkeys(came)
+        for icao24 in touched:
+            # What came before a silence is held too: a late report may yet fill it.
+            expiry = (max(tracks[icao24][2]) + self.silence) * 1000
+            tracks[icao24][1] = max(expiry, timerValues.getCurrentWatermarkInMs() + 1)
+        yield self._rows(tracks, touched, "live")
+        due = self._store(tracks)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        stored = self.state.get()
-        if stored:
-            self.state.clear()
-            yield self._row(key, "expired", unbroken(list(zip(*stored[: len(REPORT)])), self.silence))
+        tracks, _ = self._load()
+        now = timerValues.getCurrentWatermarkInMs()
+        ended = [icao24 for icao24, (_, expiry, _) in tracks.items() if expiry is not None and expiry <= now]
+        if ended:
+            yield self._rows(tracks, ended, "expired")
+            for icao24 in ended:
+                tracks[icao24][1:] = [None, {}]
+        due = self._store(tracks)
+        if due is not None:
+            self.handle.registerTimer(due)
 
     def close(self) -> None:
         pass
@@ -184,8 +208,8 @@ def track_live(
     timed = stream if "event_time" in stream.columns else clean.to_event_time(stream)
     placed = clean.filter_valid_coords(timed).withWatermark("event_time", lateness)
     tracked = (
-        placed.select("icao24", "event_time", *REPORT)
-        .groupBy("icao24")
+        placed.select(F.pmod(F.xxhash64("icao24"), F.lit(GROUPS)).alias("group"), "icao24", "event_time", *REPORT)
+        .groupBy("group")
         .transformWithStateInPandas(
             statefulProcessor=LiveTracker(silence),
             outputStructType=LIVE,

@@ -240,6 +240,84 @@ def test_reports_of_one_second_in_any_order():
     assert len(kept) == 1
 
 
+def test_state_is_called_once_a_group_and_batch():
+    """However many aircraft a group has."""
+    import pandas as pd
+
+    class State:
+        calls, value, timers = 0, None, set()
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def registerTimer(self, expiry):
+            self.calls += 1
+            self.timers.add(expiry)
+
+        def deleteTimer(self, expiry):
+            self.calls += 1
+            self.timers.remove(expiry)
+
+    class Watermark:
+        def __init__(self, second):
+            self.second = second
+
+        def getCurrentWatermarkInMs(self):
+            return self.second * 1000
+
+    state, tracker = State(), live.LiveTracker(45)
+    tracker.init(state)
+    rows = [message(i, icao24=f"8016{i:02d}") | {"squawk": None} for i in range(50)] + [message(0, icao24=None)]
+    frame = pd.DataFrame(rows)[["icao24", *live.REPORT]]
+    shown = pd.concat(tracker.handleInputRows((7,), iter([frame[:30], frame[30:]]), Watermark(0)))
+    assert state.calls == 3 and state.timers == {(START + 45) * 1000}
+    assert len(shown) == 51 and set(shown.version) == {1} and shown.icao24.isna().sum() == 1
+    state.timers.clear()  # as Spark does with a timer that has run
+    ended = pd.concat(tracker.handleExpiredTimer((7,), Watermark(START + 45 + 9), None))
+    assert sorted(ended.time_position - START) == [0, *range(10)] and set(ended.version) == {2}
+    assert state.timers == {(START + 55) * 1000}
+    list(tracker.handleInputRows((7,), iter([frame[:1]]), Watermark(START + 54)))
+    assert state.timers == {(START + 54) * 1000 + 1}
+
+
+def test_input_of_a_stream_is_computed_once(spark):
+    from types import SimpleNamespace
+
+    from contrail.plans.catalog_tables import _arriving
+
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(second):
+        computed.add(1)
+        return second
+
+    times = [START + 10 * 86400 * i for i in range(3)] + [None]
+    rows = spark.createDataFrame([(t,) for t in times], "second long")
+    rows = rows.select(F.udf(count, "long").asNondeterministic()("second").alias("time_position"))
+    late = F.when(F.col("time_position") == START + 20 * 86400, 90).otherwise(30)
+    rows = rows.withColumn("processed_at", F.timestamp_seconds(F.col("time_position") + late))
+    seen = []
+
+    def advance(stream):
+        frame = stream.writeStream.format("memory").queryName(f"arrived{len(seen)}").trigger(availableNow=True).start()
+        frame.awaitTermination()
+        seen.append(spark.table(f"arrived{len(seen)}").count())
+        return frame
+
+    folder = _arriving(SimpleNamespace(spark=spark), rows, advance)
+    assert seen == [1, 2, 2, 3]
+    assert spark.read.option("recursiveFileLookup", "true").parquet(folder).count() == 3
+    assert computed.value == 4
+
+
 def test_silence_ends_a_track(spark, tmp_path):
     rows = track(
         spark, tmp_path,
