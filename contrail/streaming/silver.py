@@ -24,12 +24,15 @@ def writer_of(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.encode()).hexdigest()
 
 
-def _append(rows: DataFrame, path: str, main: str, key: list[str], attempt: str) -> None:
-    """Add `rows` whose key no visible row of their dates has, numbered by the attempt."""
+def _append(rows: DataFrame, dates: DataFrame, path: str, main: str, key: list[str], attempt: str) -> None:
+    """Add `rows` whose key no visible row of their `dates` has, numbered by the attempt.
+
+    `dates` has a `partition_date` for each of `rows` at least; it needs neither their order nor their repeats gone.
+    """
     spark = rows.sparkSession
     if tables.exists(spark, path):
         # A list of dates: one per day the batch touches.
-        days = [row[0] for row in rows.select("partition_date").distinct().collect()]
+        days = [row[0] for row in dates.select("partition_date").distinct().collect()]
         known = spark.read.parquet(path).filter(F.col("partition_date").isin(days))
         rows = rows.join(ledger.visible(known, main).select(*key), key, "left_anti")
     numbered = ledger.stamped(rows, attempt)
@@ -38,7 +41,9 @@ def _append(rows: DataFrame, path: str, main: str, key: list[str], attempt: str)
 
 def add_kept(batch: DataFrame, path: str, as_of: str | Column, tie_break: list[str] | None, attempt: str) -> None:
     """The batch's valid reports, one a key, that the table does not have; unseen until the attempt is committed."""
-    _append(clean.to_silver(batch, as_of, tie_break), path, path, KEY, attempt)
+    valid = clean.normalise(batch).filter(clean.passes(as_of))
+    dates = clean.with_partition_date(clean.to_event_time(valid))
+    _append(clean.to_silver(batch, as_of, tie_break), dates, path, path, KEY, attempt)
 
 
 def add_rejected(batch: DataFrame, rejects: str, path: str, as_of: str | Column, attempt: str) -> None:
@@ -46,7 +51,7 @@ def add_rejected(batch: DataFrame, rejects: str, path: str, as_of: str | Column,
     bad = clean.validate(clean.normalise(batch), as_of)[1]
     whole = F.struct(*[F.col(name) for name in sorted(bad.columns)])
     named = bad.withColumns({REJECT: F.sha2(F.to_json(whole), 256), "partition_date": F.to_date("processed_at")})
-    _append(named.dropDuplicates([REJECT]), rejects, path, [REJECT], attempt)
+    _append(named.dropDuplicates([REJECT]), named, rejects, path, [REJECT], attempt)
 
 
 def add_batch(

@@ -318,6 +318,25 @@ def test_input_of_a_stream_is_computed_once(spark):
     assert computed.value == 4
 
 
+def test_dates_of_a_batch_need_no_shuffle_of_its_rows(spark, tmp_path, monkeypatch):
+    path, bad, plans = str(tmp_path / "silver"), str(tmp_path / "bad"), []
+    append = silver._append
+
+    def spy(rows, dates, *others):
+        plans.append(dates._jdf.queryExecution().optimizedPlan().toString())
+        days = lambda df: {r[0] for r in df.select("partition_date").collect()}
+        assert days(rows) == days(dates)
+        append(rows, dates, *others)
+
+    monkeypatch.setattr(silver, "_append", spy)
+    rows = [message(s, **more) for s in (0, 0, 86400) for more in ({}, {"latitude": None})]
+    batch = clean.with_processed_at(spark.createDataFrame(rows, S.MESSAGE), AS_OF)
+    for _ in range(2):
+        silver.add_batch(batch, path, AS_OF, rejects=bad)
+    assert len(plans) == 4 and not any("Window" in plan or "Aggregate" in plan for plan in plans)
+    assert silver.read_silver(spark, path).count() == 2 and silver.read_rejects(spark, bad, path).count() == 2
+
+
 def test_silence_ends_a_track(spark, tmp_path):
     rows = track(
         spark, tmp_path,
