@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,11 +36,15 @@ LEFT, RIGHT = 24, 8
 # The network sees windows of so many characters, each half over the last; a candidate scores as its best.
 WINDOW = 96
 
-# Labelled findings that the network is trained on, at most so many of either kind: those of smallest hash.
-SAMPLE = 2000
+# The network learns from all candidates, dealt to groups of about so many of either label; each fits a task.
+GROUP = 2000
+# The first group is learned alone; from there so many rounds are learned by all groups side by side and averaged.
+ROUNDS, AVERAGED_RATE = 2, 0.003
+# Scores of what is set aside are counted in steps of so much.
+STEP = 0.001
 # Share of the labelled secrets set aside that the threshold must catch.
 RECALL = 0.99
-# Runs reach the training sample in pieces of so many characters, which bounds it in bytes.
+# Runs are learned in pieces of so many characters, which bounds a group in bytes.
 PIECE = 4 * WINDOW
 
 # A labelled finding is also learned in other shapes than the rules', so many of each and so many in all at least.
@@ -211,9 +216,11 @@ class Network:
         return 1 / (1 + np.exp(-(self.scale[0] * best + self.scale[1])))
 
 
-def fit(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rounds: int = 12, rate: float = 0.01) -> Network:
-    """Trained by Adam on windows and labels; both labels weigh the same."""
-    net = Network.new(rng)
+def fit(
+    x: np.ndarray, y: np.ndarray, rng: np.random.Generator, rounds: int = 12, rate: float = 0.01, net: Network | None = None
+) -> Network:
+    """Trained by Adam on windows and labels, from `net` if there is one; both labels weigh the same."""
+    net = copy.deepcopy(net) or Network.new(rng)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     ones, zeros = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     step = 0
@@ -285,7 +292,7 @@ def both_ways(found: list[dict], y: np.ndarray) -> tuple[list[dict], np.ndarray]
     return found + [{**f, "left": "", "right": ""} for f in found], np.concatenate([y, y])
 
 
-def learn(found: list[dict], y: np.ndarray, seed: int = 1) -> Network:
+def learn(found: list[dict], y: np.ndarray, seed: int = 1, **more) -> Network:
     """A network fitted to the windows of labelled candidates.
 
     Each is seen without its context too, so that the network learns secrets and not only the names
@@ -293,29 +300,41 @@ def learn(found: list[dict], y: np.ndarray, seed: int = 1) -> Network:
     """
     found, y = both_ways(found, y)
     x = [windows(f["left"], f["value"], f["right"]) for f in found]
-    return fit(np.concatenate(x), np.repeat(y, [len(w) for w in x]), np.random.default_rng(seed))
+    return fit(np.concatenate(x), np.repeat(y, [len(w) for w in x]), np.random.default_rng(seed), **more)
+
+
+def best_logits(net: Network, found: list[dict]) -> np.ndarray:
+    """The highest output among each candidate's windows."""
+    return np.array([net.logits(windows(f["left"], f["value"], f["right"])).max() for f in found])
 
 
 def calibrate(net: Network, found: list[dict], y: np.ndarray, recall: float) -> None:
+    """`calibrate_counts` on candidates and their labels."""
+    calibrate_counts(net, best_logits(net, found), y, np.ones(len(y)), recall)
+
+
+def calibrate_counts(net: Network, logits: np.ndarray, y: np.ndarray, n: np.ndarray, recall: float) -> None:
     """Scale the output to probabilities (Platt), then take the highest threshold that keeps `recall`.
 
-    The labels are drawn alike often, so a probability orders candidates and says nothing of their share in
-    the corpus; the threshold has no floor.
+    Each output and label counts `n` times. The labels are drawn alike often, so a probability orders candidates
+    and says nothing of their share in the corpus; the threshold has no floor.
     """
-    parts = [windows(f["left"], f["value"], f["right"]) for f in found]
-    logits = np.array([net.logits(p).max() for p in parts])
-    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    ones, zeros = n[y == 1].sum(), n[y == 0].sum()
+    target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     a, b = 1.0, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-(a * logits + b)))
-        w = np.maximum(p * (1 - p), 1e-9)
+        w = n * np.maximum(p * (1 - p), 1e-9)
         hessian = np.array([[(w * logits**2).sum(), (w * logits).sum()], [(w * logits).sum(), w.sum()]])
-        gradient = np.array([((p - target) * logits).sum(), (p - target).sum()])
+        gradient = np.array([(n * (p - target) * logits).sum(), (n * (p - target)).sum()])
         step = np.linalg.solve(hessian + 1e-3 * np.eye(2), gradient)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
     net.scale = (float(max(a, 1e-3)), float(b))
-    sure = np.sort(net.probability([f for f, k in zip(found, y) if k == 1]))
-    net.threshold = float(sure[int((1 - recall) * len(sure))])
+    order = np.argsort(logits[y == 1])
+    passed = np.searchsorted(np.cumsum(n[y == 1][order]), int((1 - recall) * ones), side="right")
+    # A little lower, since sums of a network differ in the last digits with the rows they are made among.
+    least = logits[y == 1][order][passed] - 1e-9
+    net.threshold = float(1 / (1 + np.exp(-(net.scale[0] * least + net.scale[1]))))
 
 
 def pieces(found: DataFrame) -> DataFrame:
@@ -329,34 +348,92 @@ def pieces(found: DataFrame) -> DataFrame:
     return rows.select(left.alias("left"), value.alias("value"), right.alias("right"), "label").distinct()
 
 
-def train(found: DataFrame, sample: int = SAMPLE, recall: float = RECALL, seed: int = 1) -> Network | None:
-    """A network trained on labelled candidates of `findings`; none where all have the same label.
+def groups(found: DataFrame, size: int = GROUP) -> tuple[DataFrame, int]:
+    """Every distinct candidate of `findings` with its `group`, and the number of groups; none where all have the same label.
 
-    At most `sample` distinct candidates of either label reach the driver, in pieces of bounded length. Every
-    third is set aside to calibrate and to choose the threshold. Both labels are learned, and set aside, in
-    other shapes too (`in_other_shapes`), so that a few make a network. Candidates without a label that look
-    random may be secrets that no rule finds: they are left out, unless there are no others.
+    A group has about `size` of either label, or all that there are: the scarcer label is dealt to several groups. Candidates
+    without a label that look random may be secrets that no rule finds: they are left out, unless there are no others.
     """
     rows = pieces(found).withColumn("order", F.xxhash64("value", "left", "right", "label"))
-    picked, labels = [], []
-    for label in (1, 0):
-        some = rows.filter(F.col("label") == label).orderBy("order", "value", "left", "right").limit(sample).collect()
-        some = [r.asDict() for r in some]
-        if label == 0:
-            some = [f for f in some if not looks_random(f["value"])] or some
-        if not some:
-            return None
-        picked += some
-        labels += [label] * len(some)
-    y = np.array(labels)
-    rng = np.random.default_rng(seed)
-    aside = np.arange(len(y)) % 3 == 2
+    doubtful = (F.col("label") == 0) & F.udf(looks_random, "boolean")("value")
+    rows = stored(rows.withColumn("doubtful", doubtful), "secret-pieces")
+    counts = {(r["label"], r["doubtful"]): r["count"] for r in rows.groupBy("label", "doubtful").count().collect()}
+    if (0, False) in counts:
+        rows = rows.filter(~F.col("doubtful"))
+    ones, zeros = counts.get((1, False), 0), counts.get((0, False), counts.get((0, True), 0))
+    if not ones or not zeros:
+        return rows, 0
+    parts = {1: -(-ones // size), 0: -(-zeros // size)}
+    n = max(parts.values())
+    mine = F.when(F.col("label") == 1, F.lit(parts[1])).otherwise(F.lit(parts[0])).cast("long")
+    first = F.pmod(F.col("order"), mine)
+    dealt = rows.drop("doubtful").withColumn("group", F.explode(F.sequence(first, F.lit(n - 1).cast("long"), mine)))
+    return stored(dealt.repartition(n, "group"), "secret-groups"), n
+
+
+def halves(group: pd.DataFrame) -> list[tuple[list[dict], np.ndarray]]:
+    """(candidates, labels) to learn, and the same of those set aside: every third of either label, in all groups alike."""
+    group = group.sort_values(["label", "order", "value", "left", "right"], ascending=[False, True, True, True, True])
+    aside = (group.groupby("label").cumcount() % 3 == 2).to_numpy()
+    y = group["label"].to_numpy()
+    found = group[["left", "value", "right"]].to_dict("records")
     if len(set(y[aside])) < 2:  # of a few, all serve for both
-        mine = others = np.ones(len(y), bool)
-    else:
-        mine, others = ~aside, aside
-    net = learn(*in_other_shapes([picked[i] for i in np.flatnonzero(mine)], y[mine], rng), seed)
-    calibrate(net, *both_ways(*in_other_shapes([picked[i] for i in np.flatnonzero(others)], y[others], rng)), recall)
+        return [(found, y)] * 2
+    return [([found[i] for i in np.flatnonzero(half)], y[half]) for half in (~aside, aside)]
+
+
+def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None:
+    """One more round over all groups: each goes on from `net` with its own candidates, and `net` becomes their mean."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        own = [seed, turn, int(group["group"].iloc[0])]
+        found, y = in_other_shapes(*halves(group)[0], np.random.default_rng(own))
+        learned = learn(found, y, own, rounds=1, rate=AVERAGED_RATE, net=net)
+        flat = np.concatenate([p.ravel() for p in learned.parameters()])
+        return pd.DataFrame({"at": np.arange(len(flat)), "value": flat})
+
+    learned = rows.groupBy("group").applyInPandas(run, "at int, value double")
+    # Summed as decimals, so that the order of the groups makes no difference.
+    sums = learned.groupBy("at").agg(F.sum(F.col("value").cast("decimal(28,15)")).cast("double").alias("sum"))
+    flat = np.array([r["sum"] for r in sums.orderBy("at").collect()]) / n
+    for p in net.parameters():
+        p[...], flat = flat[: p.size].reshape(p.shape), flat[p.size :]
+
+
+def scores_aside(net: Network, rows: DataFrame, seed: int) -> pd.DataFrame:
+    """(label, logit, n) of all that the groups have set aside, in steps of `STEP`: the least of a step stands for it."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rng = np.random.default_rng([seed, ROUNDS, int(group["group"].iloc[0])])
+        found, y = both_ways(*in_other_shapes(*halves(group)[1], rng))
+        return pd.DataFrame({"label": y.astype("int32"), "logit": best_logits(net, found)})
+
+    scored = rows.groupBy("group").applyInPandas(run, "label int, logit double")
+    steps = scored.groupBy("label", F.floor(F.col("logit") / STEP).alias("step"))
+    return steps.agg(F.min("logit").alias("logit"), F.count(F.lit(1)).alias("n")).orderBy("label", "step").toPandas()
+
+
+def train(found: DataFrame, size: int = GROUP, recall: float = RECALL, seed: int = 1) -> Network | None:
+    """A network trained on all labelled candidates of `findings`; none where all have the same label.
+
+    Every third is set aside to calibrate and to choose the threshold. Both labels are learned, and set aside, in
+    other shapes too (`in_other_shapes`), so that a few make a network. The driver learns the first of the `groups`;
+    with more than one, the groups then go on side by side in tasks, and the driver sees only the mean of their networks and
+    counts of scores.
+    """
+    rows, n = groups(found, size)
+    if not n:
+        return None
+    mine, others = halves(rows.filter("group = 0").toPandas())
+    rng = np.random.default_rng(seed)
+    net = learn(*in_other_shapes(*mine, rng), seed)
+    if n == 1:
+        calibrate(net, *both_ways(*in_other_shapes(*others, rng)), recall)
+        return net
+    for turn in range(ROUNDS):
+        average(net, rows, n, seed, turn)
+    scores = scores_aside(net, rows, seed)
+    calibrate_counts(net, scores["logit"].to_numpy(), scores["label"].to_numpy(), scores["n"].to_numpy(), recall)
     return net
 
 

@@ -110,6 +110,40 @@ def test_network_finds_kinds_that_no_rule_covers(spark):
     assert len(others) > 2000 and np.mean(net.probability(others) >= net.threshold) < 0.02
 
 
+def test_network_learns_from_every_candidate(spark):
+    rng = random.Random(6)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    text = lambda i: f"see token = {make('0123456789abcdef', 30)} in " + " ".join(f"/home/lib{i}/word{j}/file" for j in range(5))
+    frame = spark.createDataFrame([(i, text(i), None, None) for i in range(120)], SCHEMA)
+    found = secrets.findings(frame)
+    every = {(r.left, r.value, r.right, r.label) for r in secrets.pieces(found).collect()}
+    rows, n = secrets.groups(found, 100)
+    dealt = rows.toPandas()
+    assert n > 4 and set(map(tuple, dealt[["left", "value", "right", "label"]].to_numpy())) == every
+    aside, learned = set(), set()
+    for _, group in dealt.groupby("group"):
+        assert 10 < (group.label == 1).sum() <= 120 and 10 < (group.label == 0).sum() < 200
+        mine, others = secrets.halves(group)
+        learned |= {(f["left"], f["value"]) for f in mine[0]}
+        aside |= {(f["left"], f["value"]) for f in others[0]}
+    assert not aside & learned and len(aside | learned) == len(every)
+    net = secrets.train(found, 100)
+    again = secrets.train(found.repartition(5), 100)
+    assert net.threshold == again.threshold and all((p == q).all() for p, q in zip(net.parameters(), again.parameters()))
+    first = secrets.learn(*secrets.in_other_shapes(*secrets.halves(dealt[dealt.group == 0])[0], np.random.default_rng(1)), 1)
+    assert not np.allclose(first.filters, net.filters)
+    score = lambda label: net.probability([dict(zip(("left", "value", "right"), f)) for f in every if f[3] == label])
+    assert np.mean(score(1) >= net.threshold) > 0.97 and np.mean(score(0) >= net.threshold) < 0.03
+
+
+def test_threshold_from_counts_is_that_of_the_candidates():
+    found, y = labelled(random.Random(7), 200)
+    nets = [secrets.learn(found, y) for _ in range(2)]
+    secrets.calibrate(nets[0], found * 3, np.tile(y, 3), 0.95)
+    secrets.calibrate_counts(nets[1], secrets.best_logits(nets[1], found), y, np.full(200, 3), 0.95)
+    assert abs(nets[0].threshold - nets[1].threshold) < 1e-9 and np.allclose(nets[0].scale, nets[1].scale)
+
+
 def test_a_single_labelled_finding_trains(spark):
     rows = [(1, 'see token = "34cf1be9225426587b06121cb35ab512e5a1beb5" and thesewordsaretogether here', None, None)]
     frame = spark.createDataFrame([*rows, (2, "a bare k9Xw2Lq8ZtR4vB7nM1cY6dP3 here", None, None)], SCHEMA)
