@@ -368,7 +368,7 @@ def groups(found: DataFrame, size: int = GROUP) -> tuple[DataFrame, int]:
     mine = F.when(F.col("label") == 1, F.lit(parts[1])).otherwise(F.lit(parts[0])).cast("long")
     first = F.pmod(F.col("order"), mine)
     dealt = rows.drop("doubtful").withColumn("group", F.explode(F.sequence(first, F.lit(n - 1).cast("long"), mine)))
-    return stored(dealt.repartition(n, "group"), "secret-groups"), n
+    return stored(dealt, "secret-groups"), n
 
 
 def halves(group: pd.DataFrame) -> list[tuple[list[dict], np.ndarray]]:
@@ -383,7 +383,10 @@ def halves(group: pd.DataFrame) -> list[tuple[list[dict], np.ndarray]]:
 
 
 def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None:
-    """One more round over all groups: each goes on from `net` with its own candidates, and `net` becomes their mean."""
+    """One more round over all `n` groups: each goes on from `net` with its own candidates, and `net` becomes their mean.
+
+    The number of partitions is given, since few bytes take much work here and would be merged into a few tasks.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         own = [seed, turn, int(group["group"].iloc[0])]
@@ -392,7 +395,7 @@ def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None
         flat = np.concatenate([p.ravel() for p in learned.parameters()])
         return pd.DataFrame({"at": np.arange(len(flat)), "value": flat})
 
-    learned = rows.groupBy("group").applyInPandas(run, "at int, value double")
+    learned = rows.repartition(n, "group").groupBy("group").applyInPandas(run, "at int, value double")
     # Summed as decimals, so that the order of the groups makes no difference.
     sums = learned.groupBy("at").agg(F.sum(F.col("value").cast("decimal(28,15)")).cast("double").alias("sum"))
     flat = np.array([r["sum"] for r in sums.orderBy("at").collect()]) / n
@@ -400,7 +403,7 @@ def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None
         p[...], flat = flat[: p.size].reshape(p.shape), flat[p.size :]
 
 
-def scores_aside(net: Network, rows: DataFrame, seed: int) -> pd.DataFrame:
+def scores_aside(net: Network, rows: DataFrame, n: int, seed: int) -> pd.DataFrame:
     """(label, logit, n) of all that the groups have set aside, in steps of `STEP`: the least of a step stands for it."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -408,7 +411,7 @@ def scores_aside(net: Network, rows: DataFrame, seed: int) -> pd.DataFrame:
         found, y = both_ways(*in_other_shapes(*halves(group)[1], rng))
         return pd.DataFrame({"label": y.astype("int32"), "logit": best_logits(net, found)})
 
-    scored = rows.groupBy("group").applyInPandas(run, "label int, logit double")
+    scored = rows.repartition(n, "group").groupBy("group").applyInPandas(run, "label int, logit double")
     steps = scored.groupBy("label", F.floor(F.col("logit") / STEP).alias("step"))
     return steps.agg(F.min("logit").alias("logit"), F.count(F.lit(1)).alias("n")).orderBy("label", "step").toPandas()
 
@@ -432,7 +435,7 @@ def train(found: DataFrame, size: int = GROUP, recall: float = RECALL, seed: int
         return net
     for turn in range(ROUNDS):
         average(net, rows, n, seed, turn)
-    scores = scores_aside(net, rows, seed)
+    scores = scores_aside(net, rows, n, seed)
     calibrate_counts(net, scores["logit"].to_numpy(), scores["label"].to_numpy(), scores["n"].to_numpy(), recall)
     return net
 
