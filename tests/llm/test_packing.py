@@ -37,6 +37,38 @@ def test_ids_by_parts_are_ids_of_the_whole(name, byte_level, monkeypatch):
     assert list(own.encode(texts[:500])) == whole[:500]
 
 
+MARKS = [",", ".", "!?", ";", ")", "...", "_", "="]
+
+
+@pytest.mark.parametrize("name,byte_level", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_marks_beside_words_are_learned_apart(name, byte_level):
+    words = ["alpha", "beta", "été", "gamma", "delta", "mañana"]
+    texts = [f" {w}{a} {b}{w}\n{w}" for w in words for a in MARKS for b in MARKS]
+    own = Encoder(tokenizer_path(name), byte_level)
+    assert list(own.encode(texts)) == own.whole(texts)
+    # Words with and without a blank, marks likewise, and white space.
+    assert len(own.known) <= 2 * (len(words) + len(MARKS)) + 2
+
+
+def test_words_met_of_late_are_not_learned_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_WORDS", 100)
+    monkeypatch.setattr(tokens, "AT_ONCE", 1)
+    own = Encoder(tokenizer_path("byte_bpe_50k.json"), True)
+    learned = Counter()
+    letters = own._letters
+
+    def counted(words):
+        learned.update(words)
+        return letters(words)
+
+    monkeypatch.setattr(own, "_letters", counted)
+    rare = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(2000)]
+    texts = [f" common {' '.join(rare[i : i + 20])}" for i in range(0, len(rare), 20)]
+    assert list(own.encode(texts)) == own.whole(texts)
+    assert learned[" common"] == 1
+    assert len(own.known) + len(own.earlier) <= 100
+
+
 def check_plan(counts, capacity):
     """Places every piece once, gapless; returns the number of sequences."""
     filled = {}
