@@ -10,6 +10,8 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,22 +19,30 @@ from contrail.llm.common import stored
 
 # The rules of the contract. Letters of the names count in either case, ASCII only.
 ASSIGN = re.compile(
-    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+    rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I
 )
 ASSIGN_LEAST = 6
-ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
-HEX = re.compile(r"[0-9a-f]{24,}")
+ACCESS_LEAST, HEX_LEAST = 20, 24
+ACCESS = re.compile(rb"AKIA[A-Z0-9]{%d,}" % (ACCESS_LEAST - 4))
+HEX = re.compile(rb"[0-9a-f]{%d,}" % HEX_LEAST)
 KINDS = ["assign", "access", "hex", "model"]
-# What the first rule's names begin with; a text without any of them has no match.
-NAMES = ("passw", "secret", "token", "api")
+# What the first rule's names begin with, in lower case; it matches nowhere else.
+NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 # A candidate is a whole run of the characters of the first rule's values: one that is long, or one
 # of which as much as that rule needs follows an assignment or a quote.
-CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")
+CHARACTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
 CANDIDATE_LEAST = 16
-LONG = re.compile(rf"[A-Za-z0-9+/_=.-]{{{CANDIDATE_LEAST},}}")
-SHORT = re.compile(rf"""[:="'](?=\x20*["']?([A-Za-z0-9+/_=.-]{{{ASSIGN_LEAST},{CANDIDATE_LEAST}}}))""")
+MARKS = (b":", b"=", b'"', b"'")
+SHORT = re.compile(rb"""[:="']\x20*["']?([A-Za-z0-9+/_=.-]{%d,%d})""" % (ASSIGN_LEAST, CANDIDATE_LEAST))
+# 1 for each character of a run, 0 for any other. Eight of them are a block, a byte of bits; of each such byte, how many
+# ones it begins and ends with.
+IN_RUN = bytes(int(c in CHARACTERS) for c in range(256))
+AHEAD = np.array([f"{b:08b}0".index("0") for b in range(256)], np.uint8)
+BEHIND = np.array([f"{b:08b}"[::-1].find("0") % 9 for b in range(256)], np.uint8)
 LEFT, RIGHT = 24, 8
+# So many texts are searched as one, which the processor's caches hold.
+AT_ONCE = 256
 # The network sees windows of so many characters, each half over the last; a candidate scores as its best.
 WINDOW = 96
 
@@ -61,50 +71,87 @@ ALPHABETS = [
 SHAPE_LENGTHS = (10, 64)
 # A run looks random if so many of its neighbours change between letter and digit, or from lower case to upper.
 CHANGES = 0.25
+KIND_OF = str.maketrans(DIGITS + LOWER + UPPER, "0" * 10 + "a" * 26 + "A" * 26)
+CHANGE = ("0a", "a0", "0A", "A0", "aA")
 WORDS = re.compile("[A-Za-z]{2,10}")
 
 FINDING = "struct<start:int,end:int,left:string,value:string,right:string,label:int>"
 FOUND = f"doc_id long, base array<struct<kind:int,start:int,end:int>>, findings array<{FINDING}>"
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the rules' matches, in order; each kind leftmost and non-overlapping."""
-    spans = []
-    lower = text.lower()
-    if any(name in lower for name in NAMES):
-        spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
-    # A run that is too short holds no longer one, so the length can be part of the pattern.
-    if "AKIA" in text:
-        spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
-    spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    return sorted(spans)
+def places(text: bytes, names: tuple[bytes, ...]) -> list[int]:
+    """Where any of `names` begins in `text`, in order."""
+    found = []
+    for name in names:
+        at = text.find(name)
+        while at >= 0:
+            found.append(at)
+            at = text.find(name, at + 1)
+    return sorted(found)
 
 
-def runs(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the runs that are candidates, in order."""
-    found = [m.span() for m in LONG.finditer(text)]
+def scanned(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int]]]]:
+    """(start, kind, end) of the rules' matches and (start, end) of the runs that are candidates, of each text, both in order.
+
+    Each kind is leftmost and non-overlapping. The texts are searched as one, with a byte for each code point: "?" for those
+    beyond ASCII, and a line feed between two texts. No match and no run holds either. What the second and third rule
+    match is part of a long run, since their characters are, so they are searched there only.
+    """
+    parts = [text.encode("ascii", "replace") for text in texts]
+    joined = b"\n".join([*parts, b""])
+    base, end = [], 0
+    for start in places(joined.lower(), NAMES):
+        if start >= end and (m := ASSIGN.match(joined, start)):
+            end = m.end()
+            if len(m[2]) >= ASSIGN_LEAST:
+                base.append((start, 0, end))
+    # A long run holds full blocks, side by side; the first of them stands for it. One alone needs enough on either side.
+    inside = joined.translate(IN_RUN) + bytes(1)
+    bits = np.concatenate([[0], np.packbits(np.frombuffer(inside, np.uint8)), [0]]).astype(np.uint8)
+    before, block, after = bits[:-2], bits[1:-1], bits[2:]
+    enough = 8 + BEHIND[before] + AHEAD[after] >= CANDIDATE_LEAST
+    firsts = np.flatnonzero((block == 255) & (before < 255) & enough) * 8
+    long = [(inside.rfind(0, 0, at) + 1, inside.find(0, at)) for at in firsts.tolist()]
+    for start, end in long:
+        if end - start >= ACCESS_LEAST and joined.find(b"AKIA", start, end) >= 0:
+            base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(joined, start, end)]
+        if end - start >= HEX_LEAST:
+            base += [(m.start(), 2, m.end()) for m in HEX.finditer(joined, start, end)]
     short, at = set(), 0
-    for m in SHORT.finditer(text):
+    for m in filter(None, (SHORT.match(joined, mark) for mark in places(joined, MARKS))):
         start, end = m.span(1)
-        while at < len(found) and found[at][1] <= start:
+        while at < len(long) and long[at][1] <= start:
             at += 1
-        if at < len(found) and found[at][0] <= start:
+        if at < len(long) and long[at][0] <= start:
             continue
-        # The run is shorter than a long one, so few characters stand before what was matched.
-        while start and text[start - 1] in CHARACTERS:
-            start -= 1
-        short.add((start, end))
-    return sorted(found + list(short)) if short else found
+        short.add((inside.rfind(0, 0, start) + 1, end))
+    out = [([], []) for _ in texts]
+    begins = np.cumsum([0] + [len(part) + 1 for part in parts])
+    for i, found in enumerate((sorted(base), sorted([*long, *short]))):
+        of = np.searchsorted(begins, np.array([f[0] for f in found], int), "right") - 1
+        for text, begin, f in zip(of.tolist(), begins[of].tolist(), found):
+            out[text][i].append((f[0] - begin, *f[1:-1], f[-1] - begin))
+    return out
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the rules' matches, in order; each kind leftmost and non-overlapping."""
+    return scanned([text])[0][0]
+
+
+def runs(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the runs that are candidates, in order."""
+    return scanned([text])[0][1]
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Every run that may be a secret, with its context and label: 1 if it overlaps a rule's match.
+def candidates(text: str, base: list[tuple[int, int, int]], all_runs: list[tuple[int, int]] | None = None) -> list[dict]:
+    """Every run that may be a secret, with its context and label: 1 if it overlaps a rule's match. `all_runs` are its `runs`.
 
     Values of the rules' matches are always among them. A run that matches only go beyond is
     the name of an assignment, and none.
     """
     found, at, ends = [], 0, []
-    for start, end in runs(text):
+    for start, end in runs(text) if all_runs is None else all_runs:
         while at < len(base) and base[at][0] < end:
             ends.append(base[at][2])
             at += 1
@@ -124,33 +171,44 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     return found
 
 
+def lists(rows: list[list], fields: list[tuple[str, pa.DataType]]) -> pa.Array:
+    """A list of structs for each row, whose items are tuples or dictionaries with a value for each field."""
+    flat = [tuple(item.values()) if isinstance(item, dict) else item for row in rows for item in row]
+    columns = zip(*flat) if flat else [()] * len(fields)
+    structs = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [name for name, _ in fields])
+    return pa.ListArray.from_arrays(np.cumsum([0] + [len(row) for row in rows]).astype(np.int32), structs)
+
+
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs` with its base spans and candidates; a null text is an empty one."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for doc, text in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
-                base = base_spans(text or "")
-                spans = [{"kind": k, "start": s, "end": e} for s, k, e in base]
-                out.append((doc, spans, candidates(text or "", base)))
-            yield pd.DataFrame(out, columns=["doc_id", "base", "findings"]).astype({"doc_id": "Int64"})
+    number, text = pa.int32(), pa.string()
+    span = [("kind", number), ("start", number), ("end", number)]
+    finding = [("start", number), ("end", number), ("left", text), ("value", text), ("right", text), ("label", number)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            found = [x for i in range(0, len(texts), AT_ONCE) for x in scanned(texts[i : i + AT_ONCE])]
+            base = lists([[(k, s, e) for s, k, e in b] for b, _ in found], span)
+            others = lists([candidates(x, b, r) if r else [] for x, (b, r) in zip(texts, found)], finding)
+            yield pa.RecordBatch.from_arrays([batch.column(0), base, others], ["doc_id", "base", "findings"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInPandas(run, FOUND), "secret-findings")
+    return stored(rows.mapInArrow(run, FOUND), "secret-findings")
 
 
-def windows(left: str, value: str, right: str) -> np.ndarray:
-    """Character codes of a candidate with its context, in windows: 0 pads, 1 is anything beyond ASCII."""
-    text = f"{left.rjust(LEFT, chr(0))}{value}{right}"
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+def windows(found: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Character codes of candidates with their context, in windows, and how many each has: 0 pads, 1 is anything beyond ASCII."""
+    texts = [f"{f['left'].rjust(LEFT, chr(0))}{f['value']}{f['right']}" for f in found]
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     codes = np.where(codes > 126, 1, np.where(codes < 32, 0, codes - 30)).astype(np.uint8)
-    starts = range(0, max(1, len(codes) - WINDOW // 2), WINDOW // 2)
-    out = np.zeros((len(starts), WINDOW), np.uint8)
-    for i, s in enumerate(starts):
-        part = codes[s : s + WINDOW]
-        out[i, : len(part)] = part
-    return out
+    lengths = np.array([len(t) for t in texts], int)
+    n = np.maximum(1, -(-(lengths - WINDOW // 2) // (WINDOW // 2)))
+    ends = np.repeat(np.cumsum(lengths), n)
+    starts = np.repeat(np.cumsum(lengths) - lengths, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * (WINDOW // 2)
+    out = sliding_window_view(np.append(codes, np.zeros(WINDOW, np.uint8)), WINDOW)[starts]
+    out[np.arange(WINDOW) >= (ends - starts)[:, None]] = 0
+    return out, n
 
 
 @dataclass
@@ -177,20 +235,24 @@ class Network:
             np.zeros(1),
         )
 
-    def _columns(self, x: np.ndarray) -> np.ndarray:
-        places = np.arange(x.shape[1] - self.SPAN + 1)[:, None] + np.arange(self.SPAN)
-        return self.embedding[x[:, places]].reshape(len(x), len(places), -1)
+    def _hidden(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Embeddings of `SPAN` characters from each place, rows x places x (SPAN * width); outputs, rows x filters x places."""
+        width = self.embedding.shape[1]
+        flat = self.embedding.take(x, 0).reshape(len(x), -1)
+        columns = np.ascontiguousarray(sliding_window_view(flat, self.SPAN * width, 1)[:, ::width])
+        hidden = self.filters.T @ columns.transpose(0, 2, 1)
+        hidden += self.bias[:, None]
+        return columns, hidden
 
     def forward(self, x: np.ndarray):
-        columns = self._columns(x)
-        hidden = columns @ self.filters + self.bias
-        best = hidden.argmax(1)
-        pooled = np.maximum(np.take_along_axis(hidden, best[:, None], 1)[:, 0], 0)
+        columns, hidden = self._hidden(x)
+        best = hidden.argmax(2)
+        pooled = np.maximum(np.take_along_axis(hidden, best[:, :, None], 2)[:, :, 0], 0)
         return pooled @ self.output + self.shift, pooled, best, columns
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        parts = [self.forward(x[i : i + 256])[0] for i in range(0, len(x), 256)]
-        return np.concatenate(parts) if parts else np.zeros(0)
+        pooled = [np.maximum(self._hidden(x[i : i + 64])[1].max(2), 0) for i in range(0, len(x), 64)]
+        return np.concatenate(pooled) @ self.output + self.shift if pooled else np.zeros(0)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         """Of the mean cross-entropy, in the order of `parameters`."""
@@ -198,9 +260,11 @@ class Network:
         error = (1 / (1 + np.exp(-logits)) - y) / len(x)
         back = error[:, None] * self.output * (pooled > 0)
         picked = columns[np.arange(len(x))[:, None], best]  # rows x filters x (SPAN * width)
-        embedding = np.zeros_like(self.embedding)
-        spread = (back[:, :, None] * self.filters.T).reshape(*back.shape, self.SPAN, -1)
-        np.add.at(embedding, x[np.arange(len(x))[:, None, None], best[:, :, None] + np.arange(self.SPAN)], spread)
+        spread = back[:, :, None] * self.filters.T
+        width = self.embedding.shape[1]
+        at = x[np.arange(len(x))[:, None, None], best[:, :, None] + np.arange(self.SPAN)].astype(int)
+        at = at[..., None] * width + np.arange(width)
+        embedding = np.bincount(at.ravel(), spread.ravel(), self.embedding.size).reshape(self.embedding.shape)
         return [embedding, np.einsum("nf,nfk->kf", back, picked), back.sum(0), pooled.T @ error, error.sum(keepdims=True)]
 
     def parameters(self) -> list[np.ndarray]:
@@ -210,10 +274,7 @@ class Network:
         """Calibrated, of each candidate."""
         if not found:
             return np.zeros(0)
-        parts = [windows(f["left"], f["value"], f["right"]) for f in found]
-        logits = self.logits(np.concatenate(parts))
-        best = np.maximum.reduceat(logits, np.cumsum([0] + [len(p) for p in parts[:-1]]))
-        return 1 / (1 + np.exp(-(self.scale[0] * best + self.scale[1])))
+        return 1 / (1 + np.exp(-(self.scale[0] * best_logits(self, found) + self.scale[1])))
 
 
 def fit(
@@ -236,12 +297,9 @@ def fit(
 
 
 def looks_random(value: str) -> bool:
-    """Do letters and digits, or lower and upper case, change as often as in a key?"""
-    changes = sum(
-        a.isdigit() != b.isdigit() if a.isalnum() and b.isalnum() and (a.isdigit() or b.isdigit()) else a.islower() and b.isupper()
-        for a, b in zip(value, value[1:])
-    )
-    return changes >= CHANGES * (len(value) - 1)
+    """Do letters and digits, or lower and upper case, change as often as in a key? Of ASCII characters, as all candidates have."""
+    kinds = value.translate(KIND_OF)
+    return sum(map(kinds.count, CHANGE)) >= CHANGES * (len(value) - 1)
 
 
 def reshaped(context: dict, rng: np.random.Generator) -> dict:
@@ -249,9 +307,9 @@ def reshaped(context: dict, rng: np.random.Generator) -> dict:
     alphabet = ALPHABETS[rng.integers(len(ALPHABETS))]
     value = ""
     while not looks_random(value) or not value:
-        value = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(*SHAPE_LENGTHS, endpoint=True)))
+        value = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(*SHAPE_LENGTHS, endpoint=True)).tolist())
     if rng.random() < 0.4:
-        name = "".join(LOWER[i] for i in rng.integers(0, 26, rng.integers(2, 6)))
+        name = "".join(LOWER[i] for i in rng.integers(0, 26, rng.integers(2, 6)).tolist())
         value = name + "_=-."[rng.integers(4)] + value
     elif len(alphabet) == 64 and rng.random() < 0.5:
         value += "=" * rng.integers(1, 3)
@@ -260,7 +318,7 @@ def reshaped(context: dict, rng: np.random.Generator) -> dict:
 
 def named(words: list[str], context: dict, rng: np.random.Generator) -> dict:
     """A name, path, version or date made of words of the corpus and small numbers, in the given context."""
-    some = [words[i].lower() for i in rng.integers(0, len(words), rng.integers(2, 6))]
+    some = [words[i].lower() for i in rng.integers(0, len(words), rng.integers(2, 6)).tolist()]
     case = rng.integers(4)
     if case == 1:
         some = [w.upper() for w in some]
@@ -299,13 +357,14 @@ def learn(found: list[dict], y: np.ndarray, seed: int = 1, **more) -> Network:
     before them.
     """
     found, y = both_ways(found, y)
-    x = [windows(f["left"], f["value"], f["right"]) for f in found]
-    return fit(np.concatenate(x), np.repeat(y, [len(w) for w in x]), np.random.default_rng(seed), **more)
+    x, n = windows(found)
+    return fit(x, np.repeat(y, n), np.random.default_rng(seed), **more)
 
 
 def best_logits(net: Network, found: list[dict]) -> np.ndarray:
     """The highest output among each candidate's windows."""
-    return np.array([net.logits(windows(f["left"], f["value"], f["right"])).max() for f in found])
+    x, n = windows(found)
+    return np.maximum.reduceat(net.logits(x), np.cumsum(n) - n)
 
 
 def calibrate(net: Network, found: list[dict], y: np.ndarray, recall: float) -> None:
@@ -367,10 +426,16 @@ def groups(found: DataFrame, size: int = GROUP) -> tuple[DataFrame, int]:
     n = max(parts.values())
     mine = F.when(F.col("label") == 1, F.lit(parts[1])).otherwise(F.lit(parts[0])).cast("long")
     first = F.pmod(F.col("order"), mine)
-    dealt = rows.drop("doubtful").withColumn("group", F.explode(F.sequence(first, F.lit(n - 1).cast("long"), mine)))
+    group = F.explode(F.sequence(first, F.lit(n - 1).cast("long"), mine))
+    dealt = rows.drop("doubtful").withColumn("group", group).withColumn("group", F.col("group").cast("int"))
     return stored(dealt, "secret-groups"), n
 
 
+def each_apart(rows: DataFrame, n: int) -> DataFrame:
+    """The `n` groups in a partition each: a hash would put several into one, and few bytes, which take much work, are else merged."""
+    return rows.repartitionById(n, F.col("group"))
+
+
 def halves(group: pd.DataFrame) -> list[tuple[list[dict], np.ndarray]]:
     """(candidates, labels) to learn, and the same of those set aside: every third of either label, in all groups alike."""
     group = group.sort_values(["label", "order", "value", "left", "right"], ascending=[False, True, True, True, True])
@@ -383,10 +448,7 @@ def halves(group: pd.DataFrame) -> list[tuple[list[dict], np.ndarray]]:
 
 
 def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None:
-    """One more round over all `n` groups: each goes on from `net` with its own candidates, and `net` becomes their mean.
-
-    The number of partitions is given, since few bytes take much work here and would be merged into a few tasks.
-    """
+    """One more round over all `n` groups: each goes on from `net` with its own candidates, and `net` becomes their mean."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         own = [seed, turn, int(group["group"].iloc[0])]
@@ -395,7 +457,7 @@ def average(net: Network, rows: DataFrame, n: int, seed: int, turn: int) -> None
         flat = np.concatenate([p.ravel() for p in learned.parameters()])
         return pd.DataFrame({"at": np.arange(len(flat)), "value": flat})
 
-    learned = rows.repartition(n, "group").groupBy("group").applyInPandas(run, "at int, value double")
+    learned = each_apart(rows, n).groupBy("group").applyInPandas(run, "at int, value double")
     # Summed as decimals, so that the order of the groups makes no difference.
     sums = learned.groupBy("at").agg(F.sum(F.col("value").cast("decimal(28,15)")).cast("double").alias("sum"))
     flat = np.array([r["sum"] for r in sums.orderBy("at").collect()]) / n
@@ -411,7 +473,7 @@ def scores_aside(net: Network, rows: DataFrame, n: int, seed: int) -> pd.DataFra
         found, y = both_ways(*in_other_shapes(*halves(group)[1], rng))
         return pd.DataFrame({"label": y.astype("int32"), "logit": best_logits(net, found)})
 
-    scored = rows.repartition(n, "group").groupBy("group").applyInPandas(run, "label int, logit double")
+    scored = each_apart(rows, n).groupBy("group").applyInPandas(run, "label int, logit double")
     steps = scored.groupBy("label", F.floor(F.col("logit") / STEP).alias("step"))
     return steps.agg(F.min("logit").alias("logit"), F.count(F.lit(1)).alias("n")).orderBy("label", "step").toPandas()
 
@@ -450,20 +512,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = findings(docs, id_col, text_col)
     net = train(found)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            open_ = [[f for f in x if not f["label"]] if net else [] for x in frame["findings"]]
-            scores = iter(net.probability([f for x in open_ for f in x]) if net else ())
-            out = []
-            for base, others in zip(frame["base"], open_):
-                spans = [(b["start"], b["kind"], b["end"], 1.0) for b in base]
-                for f in others:
-                    if (score := float(next(scores))) >= net.threshold:
-                        spans.append((f["start"], 3, f["end"], score))
-                out.append([{"kind": KINDS[k], "start": s, "end": e, "score": p} for s, k, e, p in sorted(spans)])
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "spans": out})
-
-    return found.mapInPandas(run, "doc_id long, spans array<struct<kind:string,start:int,end:int,score:double>>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, others = batch.column(1), batch.column(2)
+            row = [np.repeat(np.arange(len(batch)), x.value_lengths().to_numpy()) for x in (base, others)]
+            kinds, starts, ends = (x.to_numpy() for x in base.flatten().flatten())
+            spans = [(row[0], starts, kinds, ends, np.ones(len(starts)))]
+            if net:
+                all_ = pa.RecordBatch.from_struct_array(others.flatten())
+                open_ = np.flatnonzero(all_["label"].to_numpy() == 0)
+                some = all_.take(pa.array(open_))
+                scores = net.probability(some.select(["left", "value", "right"]).to_pylist())
+                more = (row[1][open_], some["start"].to_numpy(), np.full(len(open_), 3, np.int32), some["end"].to_numpy(), scores)
+                spans.append([x[scores >= net.threshold] for x in more])
+            row, starts, kinds, ends, scores = (np.concatenate(x) for x in zip(*spans))
+            order = np.lexsort((scores, ends, kinds, starts, row))
+            kind = pa.array(KINDS).take(pa.array(kinds[order]))
+            columns = [kind, *(pa.array(x[order]) for x in (starts, ends, scores))]
+            at = np.searchsorted(row[order], np.arange(len(batch) + 1)).astype(np.int32)
+            out = pa.ListArray.from_arrays(at, pa.StructArray.from_arrays(columns, ["kind", "start", "end", "score"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), out], ["doc_id", "spans"])
+
+    return found.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:int,end:int,score:double>>")
 
 
 def op10(docs: DataFrame) -> DataFrame:

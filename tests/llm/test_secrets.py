@@ -54,6 +54,56 @@ def test_every_labelled_value_is_a_candidate():
             assert not re.match("[A-Za-z0-9+/_=.-]", text[s - 1 : s]) and not re.match("[A-Za-z0-9+/_=.-]", text[e : e + 1])
 
 
+def literal_runs(text):
+    """Runs of 16 characters or more, and of 6 or more that begin after an assignment or a quote, character by character."""
+    found, run = [], re.compile("[A-Za-z0-9+/_=.-]+")
+    for m in run.finditer(text):
+        marks = [i for i in range(m.start(), m.end()) if re.match("=[A-Za-z0-9+/_=.-]{6}", text[i : i + 7])]
+        if len(m[0]) >= 16 or marks or len(m[0]) >= 6 and re.search(r"""[:="']\x20*["']?\Z""", text[: m.start()]):
+            found.append(m.span())
+    return found
+
+
+def test_many_texts_are_searched_as_one():
+    # Neighbours, other alphabets and places of blocks make no difference.
+    rng = random.Random(13)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(12, 30)))
+    many = [t[: rng.randrange(1 + len(t))] for t in texts(4000)] + [" " * (i % 9) + "é" * (i % 4) + key() for i in range(2000)]
+    many += ["token", "=abcdefgh", "AKIA" + "A" * 15, "A" * 16, "0" * 23, "0", "", 'x = "', "hunter2pass", "password:", "abcdef", "😀token=abcdef"]
+    for some in (many, rng.sample(many, len(many))):
+        for text, (base, runs) in zip(some, secrets.scanned(some), strict=True):
+            assert [f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base] == plain(text)[4]
+            assert runs == literal_runs(text) == secrets.runs(text)
+    assert secrets.scanned([]) == [] and secrets.scanned([""]) == [([], [])]
+
+
+def test_windows_of_many_candidates():
+    found = [{"left": "é" * (i % 25), "value": "aé😀9\x7f"[: 1 + i % 5] * (1 + i % 97), "right": "x" * (i % 9)} for i in range(500)]
+    x, n = secrets.windows(found)
+    got = iter(x)
+    for f, k in zip(found, n, strict=True):
+        text = "\0" * (24 - len(f["left"])) + f["left"] + f["value"] + f["right"]
+        codes = [1 if ord(c) > 126 else max(ord(c) - 30, 0) for c in text]
+        want = [codes[s : s + 96] for s in range(0, max(1, len(codes) - 48), 48)]
+        assert k == len(want)
+        for part in want:
+            assert next(got).tolist() == part + [0] * (96 - len(part))
+    assert next(got, None) is None
+
+
+def test_each_group_has_a_task_of_its_own(spark):
+    rows = spark.range(4000).selectExpr("id", "cast(id % 40 as int) as `group`")
+    apart = secrets.each_apart(rows, 40)
+    held = apart.groupBy("group").applyInPandas(lambda g: g.head(1), "id long, group int").selectExpr("spark_partition_id() as task")
+    assert len({r.task for r in held.collect()}) == 40
+    assert "ENSURE_REQUIREMENTS" not in apart.groupBy("group").applyInPandas(lambda g: g, apart.schema)._jdf.queryExecution().toString()
+
+
+def test_looks_random():
+    for value, want in [("a1b2c3", True), ("camelCaseName", False), ("aBcDeF", True), ("deadbeefdeadbeef", False), ("", True), ("_" * 9, False)]:
+        assert secrets.looks_random(value) == want
+
+
 def test_short_and_plain_values_are_candidates():
     for text, value in [
         ("pwd=hunter2pass and", "pwd=hunter2pass"),
