@@ -262,8 +262,8 @@ class Network:
         picked = columns[np.arange(len(x))[:, None], best]  # rows x filters x (SPAN * width)
         spread = back[:, :, None] * self.filters.T
         width = self.embedding.shape[1]
-        at = x[np.arange(len(x))[:, None, None], best[:, :, None] + np.arange(self.SPAN)].astype(int)
-        at = at[..., None] * width + np.arange(width)
+        at = sliding_window_view(x.astype(int) * width, self.SPAN, 1)[np.arange(len(x))[:, None], best]
+        at = at[..., None] + np.arange(width)
         embedding = np.bincount(at.ravel(), spread.ravel(), self.embedding.size).reshape(self.embedding.shape)
         return [embedding, np.einsum("nf,nfk->kf", back, picked), back.sum(0), pooled.T @ error, error.sum(keepdims=True)]
 
@@ -307,7 +307,7 @@ def reshaped(context: dict, rng: np.random.Generator) -> dict:
     alphabet = ALPHABETS[rng.integers(len(ALPHABETS))]
     value = ""
     while not looks_random(value) or not value:
-        value = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(*SHAPE_LENGTHS, endpoint=True)).tolist())
+        value = "".join([alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(*SHAPE_LENGTHS, endpoint=True)).tolist()])
     if rng.random() < 0.4:
         name = "".join(LOWER[i] for i in rng.integers(0, 26, rng.integers(2, 6)).tolist())
         value = name + "_=-."[rng.integers(4)] + value
