@@ -34,7 +34,9 @@ NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 CHARACTERS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
 CANDIDATE_LEAST = 16
 MARKS = (b":", b"=", b'"', b"'")
-SHORT = re.compile(rb"""[:="']\x20*["']?([A-Za-z0-9+/_=.-]{%d,%d})""" % (ASSIGN_LEAST, CANDIDATE_LEAST))
+SHORT = re.compile(rb"""[:="'](?=\x20*["']?([A-Za-z0-9+/_=.-]{%d,%d}))""" % (ASSIGN_LEAST, CANDIDATE_LEAST))
+# Of fewer marks in so many characters each is looked up and tried by itself; of more, the pattern goes over the text.
+RARE = 64
 # 1 for each character of a run, 0 for any other. Eight of them are a block, a byte of bits; of each such byte, how many
 # ones it begins and ends with.
 IN_RUN = bytes(int(c in CHARACTERS) for c in range(256))
@@ -43,6 +45,7 @@ BEHIND = np.array([f"{b:08b}"[::-1].find("0") % 9 for b in range(256)], np.uint8
 LEFT, RIGHT = 24, 8
 # So many texts are searched as one, which the processor's caches hold.
 AT_ONCE = 256
+STRETCH = 1 << 16
 # The network sees windows of so many characters, each half over the last; a candidate scores as its best.
 WINDOW = 96
 
@@ -79,15 +82,17 @@ FINDING = "struct<start:int,end:int,left:string,value:string,right:string,label:
 FOUND = f"doc_id long, base array<struct<kind:int,start:int,end:int>>, findings array<{FINDING}>"
 
 
-def places(text: bytes, names: tuple[bytes, ...]) -> list[int]:
-    """Where any of `names` begins in `text`, in order."""
-    found = []
-    for name in names:
-        at = text.find(name)
-        while at >= 0:
-            found.append(at)
-            at = text.find(name, at + 1)
-    return sorted(found)
+def places(text: bytes, names: tuple[bytes, ...]) -> Iterator[int]:
+    """Where any of `names` begins in `text`, in order; those of one stretch of it are held at a time."""
+    for begin in range(0, len(text), STRETCH):
+        found = []
+        for name in names:
+            end = begin + STRETCH + len(name) - 1
+            at = text.find(name, begin, end)
+            while at >= 0:
+                found.append(at)
+                at = text.find(name, at + 1, end)
+        yield from sorted(found)
 
 
 def scanned(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int]]]]:
@@ -118,7 +123,9 @@ def scanned(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tup
         if end - start >= HEX_LEAST:
             base += [(m.start(), 2, m.end()) for m in HEX.finditer(joined, start, end)]
     short, at = set(), 0
-    for m in filter(None, (SHORT.match(joined, mark) for mark in places(joined, MARKS))):
+    rare = RARE * sum(map(joined.count, MARKS)) < len(joined)
+    after = (SHORT.match(joined, mark) for mark in places(joined, MARKS)) if rare else SHORT.finditer(joined)
+    for m in filter(None, after):
         start, end = m.span(1)
         while at < len(long) and long[at][1] <= start:
             at += 1

@@ -70,13 +70,22 @@ def test_many_texts_are_searched_as_one():
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(12, 30)))
     many = [t[: rng.randrange(1 + len(t))] for t in texts(4000)] + [" " * (i % 9) + "é" * (i % 4) + key() for i in range(2000)]
     many += ["token", "=abcdefgh", "AKIA" + "A" * 15, "A" * 16, "0" * 23, "0", "", 'x = "', "hunter2pass", "password:", "abcdef", "😀token=abcdef"]
-    for some in (many, rng.sample(many, len(many))):
+    for some in (many, rng.sample(many, len(many)), [*many, " x" * 8_000_000]):  # marks are many, then rare
         for text, (base, runs) in zip(some, secrets.scanned(some), strict=True):
             assert [f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base] == plain(text)[4]
             assert runs == literal_runs(text) == secrets.runs(text)
     assert secrets.scanned([]) == [] and secrets.scanned([""]) == [([], [])]
 
 
+def test_places_of_all_stretches():
+    rng = random.Random(14)
+    text = "".join(rng.choice(["tok", "token", "tokens", "en", "ecret", "s", " "]) for _ in range(60_000)).encode()
+    assert len(text) > 3 * secrets.STRETCH
+    text = text[: secrets.STRETCH - 3] + b"token" + text[secrets.STRETCH + 2 :]
+    assert list(secrets.places(text, (b"token", b"secret"))) == [m.start() for m in re.finditer(b"(?=token|secret)", text)]
+    assert secrets.STRETCH - 3 in secrets.places(text, (b"token",)) and list(secrets.places(b"", (b"token",))) == []
+
+
 def test_windows_of_many_candidates():
     found = [{"left": "é" * (i % 25), "value": "aé😀9\x7f"[: 1 + i % 5] * (1 + i % 97), "right": "x" * (i % 9)} for i in range(500)]
     x, n = secrets.windows(found)
